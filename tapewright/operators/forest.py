@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tapewright.config import DEFAULTS, Settings
@@ -36,43 +36,51 @@ def tree_depth(settings: Settings) -> int:
     return max(1, math.ceil(math.log2(max(settings.forest_tree_rows, 2))))
 
 
-def average_path(rows: float) -> float:
+def average_path(rows) -> np.ndarray:
     """Mean depth of an unsuccessful search in a binary tree over ``rows`` points."""
-    if rows <= 1:
-        return 0.0
-    if rows == 2:
-        return 1.0
-    return 2.0 * (math.log(rows - 1.0) + np.euler_gamma) - 2.0 * (rows - 1.0) / rows
+    rows = np.asarray(rows, dtype=np.float64)
+    many = np.maximum(rows, 3.0)
+    long_run = 2.0 * (np.log(many - 1.0) + np.euler_gamma) - 2.0 * (many - 1.0) / many
+    return np.where(rows > 2, long_run, np.where(rows == 2, 1.0, 0.0))
 
 
 def fit_tree(points: np.ndarray, depth: int, rng: np.random.Generator):
     """One tree as a full binary layout: split feature and threshold per inner node, path length
-    per leaf slot. A branch that ends early sends everything left, to its single leaf slot.
+    per leaf slot. All nodes of a level are split at once. Where a node cannot be split, its
+    infinite threshold sends everything left, down to a single leaf slot.
     """
     inner = 2**depth - 1
     feature = np.zeros(inner, dtype=np.int32)
     threshold = np.full(inner, np.inf, dtype=np.float32)
     path = np.zeros(inner + 1, dtype=np.float32)
-    pending = [(0, 0, points)]
-    while pending:
-        node, level, here = pending.pop()
-        spread = np.ptp(here, axis=0) if len(here) > 1 else np.zeros(points.shape[1])
-        usable = np.flatnonzero(spread > 0)
-        if level == depth or not len(usable):
-            slot = (node + 1) * 2 ** (depth - level) - 1 - inner
-            path[slot] = level + average_path(len(here))
-            continue
-        column = rng.choice(usable)
-        low, high = here[:, column].min(), here[:, column].max()
-        cut = np.float32(rng.uniform(low, high))
-        right = here[:, column] > cut
-        feature[node], threshold[node] = column, cut
-        pending.append((2 * node + 1, level + 1, here[~right]))
-        pending.append((2 * node + 2, level + 1, here[right]))
+    rows = np.arange(len(points))
+    node = np.zeros(len(points), dtype=np.int64)
+    ended = np.full(len(points), depth)
+    for level in range(depth):
+        order = np.argsort(node, kind="stable")
+        present, starts, which = np.unique(node[order], return_index=True, return_inverse=True)
+        mine = np.empty_like(which)
+        mine[order] = which
+        low = np.minimum.reduceat(points[order], starts, axis=0)
+        high = np.maximum.reduceat(points[order], starts, axis=0)
+        usable = high > low
+        splits = usable.any(axis=1)
+        column = np.where(usable, rng.random(usable.shape), -1.0).argmax(axis=1)
+        at = np.arange(len(present)), column
+        cut = (low[at] + rng.random(len(present)) * (high[at] - low[at])).astype(np.float32)
+        # Rounding must not empty the upper side.
+        cut = np.minimum(cut, np.nextafter(high[at], np.float32(-np.inf)))
+        feature[present[splits]], threshold[present[splits]] = column[splits], cut[splits]
+        ended = np.where(splits[mine], ended, np.minimum(ended, level))
+        upper = splits[mine] & (points[rows, column[mine]] > cut[mine])
+        node = 2 * node + 1 + upper
+    slot = node - inner
+    size = np.bincount(slot, minlength=inner + 1)
+    path[slot] = ended + average_path(size)[slot]
     return feature, threshold, path
 
 
-def mean_paths(points: np.ndarray, feature, threshold, path, block: int = 1024) -> np.ndarray:
+def mean_paths(points: np.ndarray, feature, threshold, path, block: int = 256) -> np.ndarray:
     """Mean path length of each point over all trees; arrays are (trees, nodes)."""
     trees, inner = feature.shape
     depth = (inner + 1).bit_length() - 1
@@ -119,6 +127,9 @@ def tree_samples(
     per_tree, trees = settings.forest_tree_rows, settings.forest_trees
     reservoir = per_tree * trees
     key = ("trade_id", "trade_time", *FEATURES)
+    # Few bytes but much work per byte: a fixed partition count keeps adaptive execution from
+    # merging partitions by size. Ranking and fitting the trees share the second shuffle.
+    partitions = fit_partitions(scaled.sparkSession)
     drawn = (
         scaled.join(sizes, "symbol")
         .withColumn("__draw", _uniform(settings, *key))
@@ -127,12 +138,14 @@ def tree_samples(
             "__rank", F.row_number().over(Window.partitionBy("symbol").orderBy("__draw"))
         )
         .filter(F.col("__rank") <= reservoir)
+        .repartition(partitions, "trade_id", "__draw")
     )
     pool = F.least(F.col("rows"), F.lit(reservoir))
     spread = (
         drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
         .withColumn("__draw", _uniform(settings, F.col("tree"), *key))
         .filter(F.col("__draw") * pool < 2.0 * per_tree)
+        .repartition(partitions, "symbol", "tree")
     )
     in_tree = Window.partitionBy("symbol", "tree").orderBy("__draw")
     return (
@@ -142,6 +155,11 @@ def tree_samples(
     )
 
 
+def fit_partitions(spark: SparkSession) -> int:
+    planned = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(planned, 2 * spark.sparkContext.defaultParallelism)
+
+
 def fit_forest(
     scaled: DataFrame, sizes: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
@@ -151,9 +169,9 @@ def fit_forest(
     def fit(sample: pd.DataFrame) -> pd.DataFrame:
         symbol, tree = sample["symbol"].iloc[0], int(sample["tree"].iloc[0])
         rng = np.random.default_rng([seed, tree, zlib.crc32(symbol.encode())])
+        points = sample[list(FEATURES)].to_numpy(dtype=np.float32)
         # A group arrives in shuffle order: sort it so that refits give the same tree.
-        ordered = sample.sort_values(list(FEATURES))
-        points = ordered[list(FEATURES)].to_numpy(dtype=np.float32)
+        points = points[np.lexsort(points.T)]
         feature, threshold, path = fit_tree(points, depth, rng)
         return pd.DataFrame(
             {
@@ -174,7 +192,7 @@ class SymbolForest:
         self.feature = np.stack(trees["feature"].to_list()).astype(np.int32)
         self.threshold = np.stack(trees["threshold"].to_list()).astype(np.float32)
         self.path = np.stack(trees["path"].to_list()).astype(np.float32)
-        self.unit = max(average_path(int(trees["rows"].iloc[0])), 1e-12)
+        self.unit = max(float(average_path(trees["rows"].iloc[0])), 1e-12)
 
     def anomaly(self, points: np.ndarray) -> np.ndarray:
         """Anomaly measure in (0, 1]: 2 to the minus relative mean path."""
