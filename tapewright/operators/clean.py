@@ -45,9 +45,10 @@ def clean_trades_stream(trades: DataFrame, settings: Settings = DEFAULTS) -> Dat
 
 def valid_trades(trades: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Batch rules: as the stream's, but a trade without a time is kept."""
-    kept = trades.dropna(subset=["symbol", "price", "quantity"])
+    # The bounds reject nulls as well, and NaN, which compares as the largest value.
+    usable = F.col("symbol").isNotNull()
     return with_trade_value(
-        kept.filter(in_bounds("price", settings) & in_bounds("quantity", settings))
+        trades.filter(usable & in_bounds("price", settings) & in_bounds("quantity", settings))
     )
 
 

@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapewright.config import DEFAULTS, Settings
 from tapewright.operators.quantiles import exact_quantiles
@@ -30,6 +31,9 @@ TREE_SCHEMA = (
     "path array<float>"
 )
 _CHUNK = "__chunk"
+_RAW = "__raw_"
+# What random draws are made from: given columns, as derived ones may differ in the last digit.
+ROW_KEY = ("trade_id", "trade_time", f"{_RAW}price", f"{_RAW}quantity")
 
 
 def tree_depth(settings: Settings) -> int:
@@ -103,6 +107,11 @@ def mean_paths(points: np.ndarray, feature, threshold, path, block: int = 256) -
     return means
 
 
+def with_scaled_features(features: DataFrame) -> DataFrame:
+    """Feature columns standardised per symbol; the given values stay under prefixed names."""
+    return scaled_features(features.withColumns({_RAW + c: F.col(c) for c in FEATURES}))
+
+
 def symbol_sizes(features: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Row count of each symbol that is large enough for a model."""
     sizes = features.groupBy("symbol").agg(F.count("*").alias("rows"))
@@ -126,13 +135,12 @@ def tree_samples(
     """
     per_tree, trees = settings.forest_tree_rows, settings.forest_trees
     reservoir = per_tree * trees
-    key = ("trade_id", "trade_time", *FEATURES)
     # Few bytes but much work per byte: a fixed partition count keeps adaptive execution from
     # merging partitions by size. Ranking and fitting the trees share the second shuffle.
     partitions = fit_partitions(scaled.sparkSession)
     drawn = (
         scaled.join(sizes, "symbol")
-        .withColumn("__draw", _uniform(settings, *key))
+        .withColumn("__draw", _uniform(settings, *ROW_KEY))
         .filter(F.col("__draw") * F.col("rows") < 2.0 * reservoir)
         .withColumn(
             "__rank", F.row_number().over(Window.partitionBy("symbol").orderBy("__draw"))
@@ -143,7 +151,7 @@ def tree_samples(
     pool = F.least(F.col("rows"), F.lit(reservoir))
     spread = (
         drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("__draw", _uniform(settings, F.col("tree"), *key))
+        .withColumn("__draw", _uniform(settings, F.col("tree"), *ROW_KEY))
         .filter(F.col("__draw") * pool < 2.0 * per_tree)
         .repartition(partitions, "symbol", "tree")
     )
@@ -251,17 +259,14 @@ def _score_cogrouped(
         scaled.join(chunked, "symbol", "left")
         .withColumn(
             _CHUNK,
-            F.pmod(
-                F.xxhash64("trade_id", "trade_time", *FEATURES),
-                F.coalesce(F.col("__chunks"), F.lit(1)),
-            ).cast("int"),
+            F.pmod(F.xxhash64(*ROW_KEY), F.coalesce(F.col("__chunks"), F.lit(1))).cast("int"),
         )
         .drop("__chunks")
     )
     models = forest.join(chunked, "symbol").withColumn(
         _CHUNK, F.explode(F.sequence(F.lit(0), F.col("__chunks") - 1))
     )
-    schema = scaled.schema.add("raw_score", "double")
+    schema = T.StructType([*scaled.schema.fields, T.StructField("raw_score", T.DoubleType())])
     names = scaled.columns
 
     def score(part: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
@@ -294,9 +299,7 @@ def iforest_scores(
     """
     features = materialize(ml_features(trades, settings, slices), "forest-features")
     sizes = symbol_sizes(features, settings)
-    scaled = scaled_features(
-        features.withColumns({f"__raw_{c}": F.col(c) for c in FEATURES})
-    )
+    scaled = with_scaled_features(features)
     forest = materialize(fit_forest(scaled, sizes, settings), "forest-trees")
     scored = materialize(score_rows(scaled, forest, sizes, settings), "forest-raw")
     # The flagged share is the lower tail of the negated measure.
@@ -308,7 +311,7 @@ def iforest_scores(
     score = F.when(modelled, F.col("raw_score") + F.col("__offset")).otherwise(0.0)
     return scored.join(tail, "symbol", "left").select(
         *[
-            F.col(f"__raw_{c}").alias(c) if c in FEATURES else F.col(c)
+            F.col(_RAW + c).alias(c) if c in FEATURES else F.col(c)
             for c in features.columns
         ],
         score.alias("ml_anomaly_score"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapewright.config import DEFAULTS, Settings
 from tapewright.functions.values import or_zero, ratio
+from tapewright.operators.moments import with_rolling_moments
 from tapewright.operators.slicing import Slices, over_slices, plan_slices
 from tapewright.schemas import require_columns
 
@@ -18,17 +19,21 @@ FEATURES = (
 )
 
 
-def rolling_zscore_of(name: str, settings: Settings):
-    """z-score of ``name`` against its trailing frame, which includes the row itself."""
+def with_zscores(settings: Settings):
+    """z-scores of price and value against their trailing frames, which include the row itself."""
+    names = ("price", "trade_value")
 
-    def build(window) -> Column:
-        frame = window.rowsBetween(1 - settings.z_window, 0)
-        value = F.col(name)
-        score = ratio(value - F.avg(value).over(frame), F.stddev_samp(value).over(frame))
-        enough = F.count(value).over(frame) >= settings.z_min_rows
-        return or_zero(F.when(enough, score))
+    def score(name: str) -> Column:
+        apart = ratio(F.col(name) - F.col(f"__last_{name}_mean"), F.col(f"__last_{name}_std"))
+        return or_zero(F.when(F.col(f"__last_{name}_n") >= settings.z_min_rows, apart))
 
-    return build
+    def add(trades: DataFrame, window) -> DataFrame:
+        based = with_rolling_moments(trades, window, settings.z_window, names)
+        return based.select(
+            *trades.columns, *[score(name).alias(f"{name}_zscore") for name in names]
+        )
+
+    return add
 
 
 def flag_zscores(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -44,12 +49,7 @@ def rolling_zscore(
     if "trade_id" not in trades.columns:
         trades = trades.withColumn("trade_id", F.lit(None).cast("bigint"))
     slices = plan_slices(trades, settings) if slices is None else slices
-    scored = over_slices(
-        trades,
-        slices,
-        settings.z_window - 1,
-        {f"{name}_zscore": rolling_zscore_of(name, settings) for name in ("price", "trade_value")},
-    )
+    scored = over_slices(trades, slices, settings.z_window - 1, with_zscores(settings))
     return flag_zscores(scored, settings)
 
 
@@ -59,20 +59,28 @@ def ml_features(
     """Add price return, rolling trade count and rolling mean value per symbol."""
     require_columns(trades, FEATURE_INPUT)
     slices = plan_slices(trades, settings) if slices is None else slices
-    trailing = lambda window: window.rowsBetween(1 - settings.feature_window, 0)
-    price = F.col("price")
     return over_slices(
-        trades,
-        slices,
-        max(settings.feature_window - 1, 1),
-        {
-            "price_return": lambda w: or_zero(ratio(price, F.lag(price).over(w)) - 1),
-            "rolling_trade_count": lambda w: F.count("trade_id").over(trailing(w)).cast("double"),
-            "rolling_trade_value_mean": lambda w: F.avg("trade_value").over(trailing(w)),
-        },
+        trades, slices, max(settings.feature_window - 1, 1), with_features(settings)
     )
 
 
+def with_features(settings: Settings):
+    """Return against the previous trade, count and mean value of the trailing frame."""
+    price = F.col("price")
+
+    def add(trades: DataFrame, window) -> DataFrame:
+        trailing = window.rowsBetween(1 - settings.feature_window, 0)
+        return trades.withColumns(
+            {
+                "price_return": or_zero(ratio(price, F.lag(price).over(window)) - 1),
+                "rolling_trade_count": F.count("trade_id").over(trailing).cast("double"),
+                "rolling_trade_value_mean": F.avg("trade_value").over(trailing),
+            }
+        )
+
+    return add
+
+
 def scaled_features(features: DataFrame) -> DataFrame:
     """Standardise the feature columns per symbol: population deviation, a zero one counts as 1.
 

@@ -15,12 +15,13 @@ depends on nothing but the row and the borders, so a lost task recomputes the sa
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tapewright.config import DEFAULTS, Settings
 from tapewright.functions.times import utc_micros
@@ -133,24 +134,22 @@ def over_slices(
     trades: DataFrame,
     slices: Slices,
     reach: int,
-    columns: Mapping[str, Callable],
+    add: Callable[[DataFrame, WindowSpec], DataFrame],
 ) -> DataFrame:
     """Add window columns whose frames look back at most ``reach`` rows.
 
-    ``columns`` maps an output name to a function from an ordered window to a column. The table
-    is shuffled once, on (symbol, slice); results equal those of one window per symbol.
+    ``add`` appends columns to a table, given a window ordered in time. The table is shuffled
+    once, on (symbol, slice); results equal those of one window per symbol.
     """
-    build = lambda window: {name: make(window) for name, make in columns.items()}
     if not slices.hot_symbols:
-        return trades.withColumns(build(series_window()))
-    names = [*trades.columns, *columns]
+        return add(trades, series_window())
     window = series_window(SLICE)
     whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     numbered = slices.assign(trades).withColumns(
         {POSITION: F.row_number().over(window), "__size": F.count("*").over(whole)}
     )
     is_head = slices.is_hot & (F.col(POSITION) <= reach)
-    inside = numbered.withColumns(build(window)).filter(~is_head)
+    inside = add(numbered, window).filter(~is_head)
     # Rows next to a border, per symbol in order: for a slice's first rows, the rows just before
     # them are here without gaps, also across slices shorter than the reach.
     borders = numbered.filter(
@@ -158,8 +157,9 @@ def over_slices(
         & ((F.col(POSITION) <= reach) | (F.col(POSITION) > F.col("__size") - reach))
     )
     along = Window.partitionBy("symbol").orderBy(SLICE, POSITION)
-    heads = borders.withColumns(build(along)).filter(F.col(POSITION) <= reach)
-    return inside.select(*names).unionByName(heads.select(*names))
+    heads = add(borders, along).filter(F.col(POSITION) <= reach)
+    helpers = (SLICE, POSITION, "__size")
+    return inside.drop(*helpers).unionByName(heads.drop(*helpers))
 
 
 def with_position(trades: DataFrame, slices: Slices, total: str | None = None) -> DataFrame:
