@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tapewright.functions.times import iso_millis
 from tapewright.functions.values import lenient_double, lenient_long, product_symbol
-from tapewright.schemas import COMPACT_TRADE, COMPACT_TRADE_NAMES, EXCHANGE_MESSAGE
+from tapewright.schemas import (
+    COMPACT_TRADE,
+    COMPACT_TRADE_NAMES,
+    EXCHANGE_MESSAGE,
+    TRADE_FIELD_NAMES,
+    TRADE_FIELDS,
+)
 
 # Kinds of exchange message that carry a trade, and the record tags.
 TRADE_MESSAGE_TYPES = ("ticker", "match", "last_match")
@@ -15,15 +22,22 @@ RECORD_KIND = "trade"
 RECORD_SOURCE = "coinbase"
 
 
+def decoded_once(records: DataFrame, value: str, schema: T.StructType, *keep: str) -> DataFrame:
+    """Fields of the JSON text in ``value``, then the ``keep`` columns.
+
+    The fields pass through a generator: filters on them stay above it, so that the text is
+    parsed once per record and not once per pushed-down condition.
+    """
+    record = F.from_json(F.col(value).cast("string"), schema)
+    return records.select(F.inline(F.array(record)), *keep)
+
+
 def parse_trades(records: DataFrame, value: str = "value") -> DataFrame:
     """Decode compact JSON records held in ``value`` (text or bytes); works on streams too.
 
     Malformed JSON gives a row of nulls, which the cleaning rules then reject.
     """
-    decoded = records.select(
-        F.from_json(F.col(value).cast("string"), COMPACT_TRADE).alias("record")
-    )
-    fields = decoded.select("record.*").toDF(*COMPACT_TRADE_NAMES)
+    fields = decoded_once(records, value, TRADE_FIELDS).toDF(*TRADE_FIELD_NAMES)
     return fields.select(
         "symbol",
         lenient_long(F.col("trade_id")).alias("trade_id"),
@@ -35,10 +49,7 @@ def parse_trades(records: DataFrame, value: str = "value") -> DataFrame:
 
 def parse_messages(records: DataFrame, value: str = "value", keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode raw exchange messages held in ``value``."""
-    decoded = records.select(
-        F.from_json(F.col(value).cast("string"), EXCHANGE_MESSAGE).alias("message"), *keep
-    )
-    return decoded.select("message.*", *keep)
+    return decoded_once(records, value, EXCHANGE_MESSAGE, *keep)
 
 
 def normalize_messages(messages: DataFrame, received_at: Column | None = None) -> DataFrame:

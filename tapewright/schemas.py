@@ -26,6 +26,10 @@ COMPACT_TRADE_NAMES = [
     "source", "channel",
 ]
 
+# What becomes a trade; the parser skips the other fields.
+TRADE_FIELDS = T.StructType([COMPACT_TRADE[name] for name in ("s", "t", "p", "q", "T")])
+TRADE_FIELD_NAMES = ["symbol", "trade_id", "price", "quantity", "trade_ms"]
+
 EXCHANGE_MESSAGE = _struct(
     type=_TEXT, product_id=_TEXT, time=_TEXT, price=_TEXT, last_size=_TEXT, size=_TEXT,
     trade_id=_TEXT, side=_TEXT,

@@ -9,12 +9,16 @@ from tapewright.functions.times import wall_clock_micros
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:
-    """``events`` as uncleaned trades: type is the symbol, value the price, ``props.k`` the size."""
+    """``events`` as uncleaned trades: type is the symbol, value the price, ``props.k`` the size.
+
+    The size passes through a generator, so that filters on it do not parse the text again.
+    """
+    size = F.get_json_object("props", "$.k").try_cast("double")
     return events.select(
         F.col("event_type").alias("symbol"),
         F.col("event_id").alias("trade_id"),
         F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").try_cast("double").alias("quantity"),
+        F.explode(F.array(size)).alias("quantity"),
         F.col("ts").alias("trade_time"),
     )
 
