@@ -7,22 +7,27 @@ row and the seed, and each tree draws from a generator seeded by (seed, symbol,
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewright.config import DEFAULTS, Settings
+from tapewright.functions import trees as tree_functions
+from tapewright.functions.trees import anomaly, fit_tree, stacked, tree_depth
 from tapewright.operators.quantiles import exact_quantiles
-from tapewright.operators.rolling import FEATURES, ml_features, scaled_features
+from tapewright.operators.rolling import FEATURES, feature_moments, ml_features, scaled_features
 from tapewright.operators.slicing import Slices
 from tapewright.session import materialize
 
+# Python workers get the tree functions with the job, whether or not the package is installed there.
+cloudpickle.register_pickle_by_value(tree_functions)
+
 # Fixed value: tag of scored rows.
 MODEL_NAME = "IsolationForest"
 
@@ -36,86 +41,15 @@ _RAW = "__raw_"
 ROW_KEY = ("trade_id", "trade_time", f"{_RAW}price", f"{_RAW}quantity")
 
 
-def tree_depth(settings: Settings) -> int:
-    return max(1, math.ceil(math.log2(max(settings.forest_tree_rows, 2))))
-
-
-def average_path(rows) -> np.ndarray:
-    """Mean depth of an unsuccessful search in a binary tree over ``rows`` points."""
-    rows = np.asarray(rows, dtype=np.float64)
-    many = np.maximum(rows, 3.0)
-    long_run = 2.0 * (np.log(many - 1.0) + np.euler_gamma) - 2.0 * (many - 1.0) / many
-    return np.where(rows > 2, long_run, np.where(rows == 2, 1.0, 0.0))
-
-
-def fit_tree(points: np.ndarray, depth: int, rng: np.random.Generator):
-    """One tree as a full binary layout: split feature and threshold per inner node, path length
-    per leaf slot. All nodes of a level are split at once. Where a node cannot be split, its
-    infinite threshold sends everything left, down to a single leaf slot.
-    """
-    inner = 2**depth - 1
-    feature = np.zeros(inner, dtype=np.int32)
-    threshold = np.full(inner, np.inf, dtype=np.float32)
-    path = np.zeros(inner + 1, dtype=np.float32)
-    rows = np.arange(len(points))
-    node = np.zeros(len(points), dtype=np.int64)
-    ended = np.full(len(points), depth)
-    for level in range(depth):
-        order = np.argsort(node, kind="stable")
-        present, starts, which = np.unique(node[order], return_index=True, return_inverse=True)
-        mine = np.empty_like(which)
-        mine[order] = which
-        low = np.minimum.reduceat(points[order], starts, axis=0)
-        high = np.maximum.reduceat(points[order], starts, axis=0)
-        usable = high > low
-        splits = usable.any(axis=1)
-        column = np.where(usable, rng.random(usable.shape), -1.0).argmax(axis=1)
-        at = np.arange(len(present)), column
-        cut = (low[at] + rng.random(len(present)) * (high[at] - low[at])).astype(np.float32)
-        # Rounding must not empty the upper side.
-        cut = np.minimum(cut, np.nextafter(high[at], np.float32(-np.inf)))
-        feature[present[splits]], threshold[present[splits]] = column[splits], cut[splits]
-        ended = np.where(splits[mine], ended, np.minimum(ended, level))
-        upper = splits[mine] & (points[rows, column[mine]] > cut[mine])
-        node = 2 * node + 1 + upper
-    slot = node - inner
-    size = np.bincount(slot, minlength=inner + 1)
-    path[slot] = ended + average_path(size)[slot]
-    return feature, threshold, path
-
-
-def mean_paths(points: np.ndarray, feature, threshold, path, block: int = 256) -> np.ndarray:
-    """Mean path length of each point over all trees; arrays are (trees, nodes)."""
-    trees, inner = feature.shape
-    depth = (inner + 1).bit_length() - 1
-    node_base = np.arange(trees, dtype=np.int32) * inner
-    leaf_base = np.arange(trees, dtype=np.int32) * (inner + 1)
-    feature, threshold, path = feature.ravel(), threshold.ravel(), path.ravel()
-    means = np.empty(len(points))
-    for start in range(0, len(points), block):
-        part = np.ascontiguousarray(points[start : start + block])
-        row_base = (np.arange(len(part), dtype=np.int32) * part.shape[1])[:, None]
-        values = part.ravel()
-        node = np.zeros((len(part), trees), dtype=np.int32)
-        for _ in range(depth):
-            at = node + node_base
-            x = values.take(row_base + feature.take(at))
-            node = 2 * node + 1 + (x > threshold.take(at))
-        means[start : start + len(part)] = path.take(node - inner + leaf_base).mean(
-            axis=1, dtype=np.float64
-        )
-    return means
-
-
-def with_scaled_features(features: DataFrame) -> DataFrame:
+def with_scaled_features(features: DataFrame, moments: DataFrame) -> DataFrame:
     """Feature columns standardised per symbol; the given values stay under prefixed names."""
-    return scaled_features(features.withColumns({_RAW + c: F.col(c) for c in FEATURES}))
+    given = features.withColumns({_RAW + c: F.col(c) for c in FEATURES})
+    return scaled_features(given, moments)
 
 
-def symbol_sizes(features: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+def symbol_sizes(moments: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
     """Row count of each symbol that is large enough for a model."""
-    sizes = features.groupBy("symbol").agg(F.count("*").alias("rows"))
-    return sizes.filter(F.col("rows") >= settings.forest_min_rows)
+    return moments.filter(F.col("rows") >= settings.forest_min_rows).select("symbol", "rows")
 
 
 def _uniform(settings: Settings, *columns) -> F.Column:
@@ -172,7 +106,7 @@ def fit_forest(
     scaled: DataFrame, sizes: DataFrame, settings: Settings = DEFAULTS
 ) -> DataFrame:
     """One row per (symbol, tree); every fitting group holds at most ``forest_tree_rows`` rows."""
-    depth, seed = tree_depth(settings), settings.forest_seed
+    depth, seed = tree_depth(settings.forest_tree_rows), settings.forest_seed
 
     def fit(sample: pd.DataFrame) -> pd.DataFrame:
         symbol, tree = sample["symbol"].iloc[0], int(sample["tree"].iloc[0])
@@ -192,26 +126,8 @@ def fit_forest(
     return samples.groupBy("symbol", "tree").applyInPandas(fit, TREE_SCHEMA)
 
 
-class SymbolForest:
-    """Trees of one symbol as arrays."""
-
-    def __init__(self, trees: pd.DataFrame):
-        trees = trees.sort_values("tree")
-        self.feature = np.stack(trees["feature"].to_list()).astype(np.int32)
-        self.threshold = np.stack(trees["threshold"].to_list()).astype(np.float32)
-        self.path = np.stack(trees["path"].to_list()).astype(np.float32)
-        self.unit = max(float(average_path(trees["rows"].iloc[0])), 1e-12)
-
-    def anomaly(self, points: np.ndarray) -> np.ndarray:
-        """Anomaly measure in (0, 1]: 2 to the minus relative mean path."""
-        means = mean_paths(
-            points.astype(np.float32), self.feature, self.threshold, self.path
-        )
-        return np.exp2(-means / self.unit)
-
-
 def forest_bytes(trees: int, settings: Settings) -> int:
-    nodes = 2 ** tree_depth(settings)
+    nodes = 2 ** tree_depth(settings.forest_tree_rows)
     return trees * nodes * 12
 
 
@@ -232,7 +148,7 @@ def score_rows(
 
 def _score_in_place(scaled: DataFrame, forest: DataFrame) -> DataFrame:
     collected = forest.toPandas()
-    forests = {s: SymbolForest(part) for s, part in collected.groupby("symbol")}
+    forests = {s: stacked(part) for s, part in collected.groupby("symbol")}
     shared = scaled.sparkSession.sparkContext.broadcast(forests)
 
     @F.pandas_udf("double")
@@ -243,7 +159,7 @@ def _score_in_place(scaled: DataFrame, forest: DataFrame) -> DataFrame:
             scores = np.full(len(symbol), np.nan)
             for name, rows in symbol.groupby(symbol, sort=False).indices.items():
                 if name in models:
-                    scores[rows] = models[name].anomaly(points[rows])
+                    scores[rows] = anomaly(points[rows], models[name])
             yield pd.Series(scores)
 
     score = raw_score("symbol", *FEATURES)
@@ -273,7 +189,7 @@ def _score_cogrouped(
         scored = part[names].copy()
         if len(trees) and len(part):
             points = part[list(FEATURES)].to_numpy(dtype=np.float64)
-            scored["raw_score"] = SymbolForest(trees).anomaly(points)
+            scored["raw_score"] = anomaly(points, stacked(trees))
         else:
             scored["raw_score"] = np.nan
         return scored
@@ -294,12 +210,13 @@ def iforest_scores(
     """Trades with features, anomaly score, flag and model tag.
 
     The score is the anomaly measure minus the symbol's contamination threshold; positive means
-    flagged. Symbols below ``forest_min_rows`` get score 0, no flag and no model. Features, trees
-    and raw scores feed several consumers each, so they are written once to the shared folder.
+    flagged. Symbols below ``forest_min_rows`` get score 0, no flag and no model. Features, moments,
+    trees and raw scores feed several consumers each, so they are written once to the shared folder.
     """
     features = materialize(ml_features(trades, settings, slices), "forest-features")
-    sizes = symbol_sizes(features, settings)
-    scaled = with_scaled_features(features)
+    moments = materialize(feature_moments(features), "forest-moments")
+    sizes = symbol_sizes(moments, settings)
+    scaled = with_scaled_features(features, moments)
     forest = materialize(fit_forest(scaled, sizes, settings), "forest-trees")
     scored = materialize(score_rows(scaled, forest, sizes, settings), "forest-raw")
     # The flagged share is the lower tail of the negated measure.

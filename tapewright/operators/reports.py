@@ -108,12 +108,16 @@ def trade_summary(trades: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     ).withColumn("median_price", median.select(F.col("quantiles")[0]).scalar())
 
 
-def flagged_total(scored: DataFrame, flag: str) -> Column:
-    """Number of flagged rows of another table, as a scalar subquery."""
+def flagged_total(scored: DataFrame | None, flag: str) -> Column:
+    """Number of flagged rows of another table, as a scalar subquery; 0 without a table."""
+    if scored is None:
+        return F.lit(0).cast("bigint")
     return scored.agg(F.count_if(F.col(flag)).alias("n")).select("n").scalar()
 
 
-def batch_summary(trades: DataFrame, zscored: DataFrame, forest_scored: DataFrame) -> DataFrame:
+def batch_summary(
+    trades: DataFrame, zscored: DataFrame | None = None, forest_scored: DataFrame | None = None
+) -> DataFrame:
     totals = trades.agg(
         F.count("*").alias("total_records"),
         F.sort_array(F.collect_set("symbol")).alias("symbols"),
@@ -273,11 +277,7 @@ def stream_price_series(
 
 def stream_summary(windows: DataFrame, forest_scored: DataFrame | None = None) -> DataFrame:
     mean_value = ratio(F.sum("notional_volume"), F.sum("trade_count"))
-    flagged = (
-        F.lit(0).cast("bigint")
-        if forest_scored is None
-        else flagged_total(forest_scored, "is_ml_anomaly")
-    )
+    flagged = flagged_total(forest_scored, "is_ml_anomaly")
     return windows.agg(
         F.coalesce(F.sum("trade_count"), F.lit(0)).alias("total_records"),
         F.sort_array(F.collect_set("symbol")).alias("symbols"),

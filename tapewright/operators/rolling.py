@@ -81,15 +81,22 @@ def with_features(settings: Settings):
     return add
 
 
-def scaled_features(features: DataFrame) -> DataFrame:
+def feature_moments(features: DataFrame) -> DataFrame:
+    """Row count, and mean and population deviation of each feature, by symbol."""
+    filled = {c: F.coalesce(c, F.lit(0.0)) for c in FEATURES}
+    return features.groupBy("symbol").agg(
+        F.count("*").alias("rows"),
+        *[F.avg(value).alias(f"__{c}_mean") for c, value in filled.items()],
+        *[F.stddev_pop(value).alias(f"__{c}_std") for c, value in filled.items()],
+    )
+
+
+def scaled_features(features: DataFrame, moments: DataFrame | None = None) -> DataFrame:
     """Standardise the feature columns per symbol: population deviation, a zero one counts as 1.
 
     Moments are partial aggregates joined back by symbol, so no symbol is gathered in one task.
     """
-    moments = features.groupBy("symbol").agg(
-        *[F.avg(F.coalesce(c, F.lit(0.0))).alias(f"__{c}_mean") for c in FEATURES],
-        *[F.stddev_pop(F.coalesce(c, F.lit(0.0))).alias(f"__{c}_std") for c in FEATURES],
-    )
+    moments = feature_moments(features) if moments is None else moments
 
     def scaled(name: str) -> Column:
         std = F.col(f"__{name}_std")
@@ -97,6 +104,6 @@ def scaled_features(features: DataFrame) -> DataFrame:
         return (F.coalesce(F.col(name), F.lit(0.0)) - F.col(f"__{name}_mean")) / unit
 
     others = [c for c in features.columns if c not in FEATURES]
-    return features.join(moments, "symbol").select(
+    return features.join(moments.drop("rows"), "symbol").select(
         *others, *[scaled(c).alias(c) for c in FEATURES]
     )

@@ -213,9 +213,7 @@ def over_valid(report: Callable[[DataFrame], DataFrame], **places: int) -> Query
 
 def batch_summary_query(spark, sf_dir):
     trades = valid(spark, sf_dir)
-    scored = forest.iforest_scores(trades)
-    summary = reports.batch_summary(trades, rolling.rolling_zscore(trades), scored)
-    return rounded(joined_symbols(summary).drop("ml_anomaly_count"))
+    return rounded(joined_symbols(reports.batch_summary(trades, rolling.rolling_zscore(trades))))
 
 
 def by_hour_query(spark, sf_dir):
@@ -255,7 +253,7 @@ def stream_by_hour_query(spark, sf_dir):
 
 def stream_summary_query(spark, sf_dir):
     summary = reports.stream_summary(hourly(spark, sf_dir))
-    return rounded(joined_symbols(summary).drop("ml_anomaly_count"))
+    return rounded(joined_symbols(summary))
 
 
 # --- streams -----------------------------------------------------------------------------------
@@ -347,17 +345,15 @@ def late_data_query(spark, sf_dir):
 
 
 def payload_query(spark, sf_dir):
-    """The batch document; scored tables feed several parts, so they are written once."""
+    """The batch document; the z-scores feed several parts, so they are written once."""
     trades = valid(spark, sf_dir)
     zscores = materialize(rolling.rolling_zscore(trades), "payload-zscores")
-    scored = materialize(forest.iforest_scores(trades), "payload-forest")
-    return payload.batch_payload(trades, zscores, scored, pretty=False)
+    return payload.batch_payload(trades, zscores, forest.iforest_scores(trades), pretty=False)
 
 
 def stream_payload_query(spark, sf_dir):
     rows = materialize(hourly(spark, sf_dir), "payload-windows")
-    scored = materialize(forest.iforest_scores(valid(spark, sf_dir)), "payload-forest")
-    return payload.stream_payload(rows, scored, HOURLY, pretty=False)
+    return payload.stream_payload(rows, forest_scored(spark, sf_dir), HOURLY, pretty=False)
 
 
 QUERIES: dict[str, Query] = {

@@ -255,7 +255,8 @@ SELECT 'cleaned_batch' AS source, count(*) AS total_records,
        string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols,
        min(trade_time) AS time_start, max(trade_time) AS time_end,
        round(avg(trade_value), 6) + 0.0 AS avg_trade_value,
-       count(*) FILTER (WHERE is_anomaly) AS anomaly_count
+       count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       CAST(0 AS BIGINT) AS ml_anomaly_count
 FROM z""",
     "batch_symbol_aggregates": f"""WITH {VALID}
 SELECT symbol, round(avg(price), 6) + 0.0 AS avg_price, round(sum(quantity), 6) + 0.0 AS volume,
@@ -294,7 +295,8 @@ SELECT 'spark_stream' AS source, CAST(sum(trade_count) AS BIGINT) AS total_recor
        string_agg(DISTINCT symbol, ',' ORDER BY symbol) AS symbols,
        min(window_start) AS time_start, max(window_end) AS time_end,
        round(sum(notional_volume) / sum(trade_count), 6) + 0.0 AS avg_trade_value,
-       count(*) FILTER (WHERE is_anomaly) AS anomaly_count
+       count(*) FILTER (WHERE is_anomaly) AS anomaly_count,
+       CAST(0 AS BIGINT) AS ml_anomaly_count
 FROM w""",
     "stream_symbol_aggregates": f"""WITH {HOURLY}
 SELECT symbol, round(sum(avg_price * trade_count) / sum(trade_count), 6) + 0.0 AS avg_price,

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from helpers import same_rows, trade, trades_df
 from tapewright.config import DEFAULTS
-from tapewright.operators.forest import average_path, fit_tree, iforest_scores, mean_paths
+from tapewright.functions.trees import average_path, fit_tree, mean_paths
+from tapewright.operators.forest import iforest_scores
 from tapewright.schemas import FOREST_SCORED_TRADE
 
 
