@@ -35,6 +35,8 @@ class Settings:
     max_slices: int = 20_000
     slice_sample_rows: int = 50
     quantile_rows: int = 2_000_000
+    lookup_rows: int = 200_000
+    salts: int = 64
     forest_broadcast_bytes: int = 128 * 1024 * 1024
     forest_chunk_rows: int = 500_000
 

@@ -13,13 +13,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tapewright.config import DEFAULTS, Settings
 from tapewright.functions import trees as tree_functions
 from tapewright.functions.trees import anomaly, fit_tree, stacked, tree_depth
+from tapewright.operators.joins import join_lookup
 from tapewright.operators.quantiles import exact_quantiles
 from tapewright.operators.rolling import FEATURES, feature_moments, ml_features, scaled_features
 from tapewright.operators.slicing import Slices
@@ -41,10 +42,12 @@ _RAW = "__raw_"
 ROW_KEY = ("trade_id", "trade_time", f"{_RAW}price", f"{_RAW}quantity")
 
 
-def with_scaled_features(features: DataFrame, moments: DataFrame) -> DataFrame:
+def with_scaled_features(
+    features: DataFrame, moments: DataFrame, settings: Settings = DEFAULTS
+) -> DataFrame:
     """Feature columns standardised per symbol; the given values stay under prefixed names."""
     given = features.withColumns({_RAW + c: F.col(c) for c in FEATURES})
-    return scaled_features(given, moments)
+    return scaled_features(given, settings, moments)
 
 
 def symbol_sizes(moments: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -52,9 +55,8 @@ def symbol_sizes(moments: DataFrame, settings: Settings = DEFAULTS) -> DataFrame
     return moments.filter(F.col("rows") >= settings.forest_min_rows).select("symbol", "rows")
 
 
-def _uniform(settings: Settings, *columns) -> F.Column:
-    """Reproducible draw in [0, 1) from a row's columns."""
-    mixed = F.xxhash64(F.lit(settings.forest_seed), *columns)
+def _uniform(mixed: Column) -> Column:
+    """Reproducible draw in [0, 1) from a hash."""
     return F.pmod(mixed, F.lit(2**53)).cast("double") / float(2**53)
 
 
@@ -73,8 +75,9 @@ def tree_samples(
     # merging partitions by size. Ranking and fitting the trees share the second shuffle.
     partitions = fit_partitions(scaled.sparkSession)
     drawn = (
-        scaled.join(sizes, "symbol")
-        .withColumn("__draw", _uniform(settings, *ROW_KEY))
+        join_lookup(scaled, sizes, ["symbol"], settings, written=True)
+        .withColumn("__row", F.xxhash64(F.lit(settings.forest_seed), *ROW_KEY))
+        .withColumn("__draw", _uniform(F.col("__row")))
         .filter(F.col("__draw") * F.col("rows") < 2.0 * reservoir)
         .withColumn(
             "__rank", F.row_number().over(Window.partitionBy("symbol").orderBy("__draw"))
@@ -85,7 +88,7 @@ def tree_samples(
     pool = F.least(F.col("rows"), F.lit(reservoir))
     spread = (
         drawn.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-        .withColumn("__draw", _uniform(settings, F.col("tree"), *ROW_KEY))
+        .withColumn("__draw", _uniform(F.xxhash64("__row", "tree")))
         .filter(F.col("__draw") * pool < 2.0 * per_tree)
         .repartition(partitions, "symbol", "tree")
     )
@@ -172,7 +175,7 @@ def _score_cogrouped(
     chunks = F.ceil(F.col("rows") / settings.forest_chunk_rows).cast("int")
     chunked = sizes.select("symbol", chunks.alias("__chunks"))
     rows = (
-        scaled.join(chunked, "symbol", "left")
+        join_lookup(scaled, chunked, ["symbol"], settings, "left", written=True)
         .withColumn(
             _CHUNK,
             F.pmod(F.xxhash64(*ROW_KEY), F.coalesce(F.col("__chunks"), F.lit(1))).cast("int"),
@@ -216,7 +219,7 @@ def iforest_scores(
     features = materialize(ml_features(trades, settings, slices), "forest-features")
     moments = materialize(feature_moments(features), "forest-moments")
     sizes = symbol_sizes(moments, settings)
-    scaled = with_scaled_features(features, moments)
+    scaled = with_scaled_features(features, moments, settings)
     forest = materialize(fit_forest(scaled, sizes, settings), "forest-trees")
     scored = materialize(score_rows(scaled, forest, sizes, settings), "forest-raw")
     # The flagged share is the lower tail of the negated measure.
@@ -226,7 +229,7 @@ def iforest_scores(
     ).select("symbol", F.col("quantiles")[0].alias("__offset"))
     modelled = F.col("raw_score").isNotNull()
     score = F.when(modelled, F.col("raw_score") + F.col("__offset")).otherwise(0.0)
-    return scored.join(tail, "symbol", "left").select(
+    return join_lookup(scored, tail, ["symbol"], settings, "left").select(
         *[
             F.col(_RAW + c).alias(c) if c in FEATURES else F.col(c)
             for c in features.columns

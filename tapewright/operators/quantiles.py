@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tapewright.config import DEFAULTS, Settings
+from tapewright.operators.joins import join_lookup
 from tapewright.operators.slicing import axis_slice, sampled_borders
+from tapewright.session import materialize
 
 _PIECE, _ROWS, _START = "__piece", "__rows", "__start"
 
@@ -26,9 +28,9 @@ def exact_quantiles(
     Quantiles interpolate linearly between neighbours. Spark's ``percentile`` keeps all distinct
     values of a group in one buffer, so it serves only while the largest group, which is counted
     first, stays below ``quantile_rows``. Larger groups are ranked piece by piece, with the same
-    result. Null values are ignored.
+    result. Null values are ignored, and so are rows without a group.
     """
-    present = df.select(*group, F.col(value).alias("value")).filter(F.col("value").isNotNull())
+    present = df.select(*group, F.col(value).alias("value")).dropna()
     counts = present.groupBy(*group).agg(F.count("*").alias(_ROWS))
     measured = counts.agg(F.max(_ROWS).alias("largest"), F.sum(_ROWS).alias("rows")).first()
     if (measured["largest"] or 0) <= settings.quantile_rows:
@@ -78,29 +80,18 @@ def _piecewise_quantiles(
             (F.col("index") >= F.col(_START)) & (F.col("index") < F.col(_START) + F.col(_ROWS))
         )
     )
-    searched = wanted.select(*group, _PIECE, _START).distinct()
-    same_group = [F.col(f"c.{c}").eqNullSafe(F.col(f"s.{c}")) for c in (*group, _PIECE)]
-    on_piece = same_group[0]
-    for condition in same_group[1:]:
-        on_piece = on_piece & condition
+    wanted = materialize(wanted, "quantile-ranks")
+    searched = wanted.select(*group, _PIECE).distinct()
     inside = Window.partitionBy(*group, _PIECE).orderBy("value")
     ranked = (
-        cut.alias("c")
-        .join(searched.alias("s"), on_piece, "left_semi")
+        join_lookup(cut, searched, [*group, _PIECE], settings, "left_semi", written=True)
         .groupBy(*group, _PIECE, "value")
         .agg(F.count("*").alias("__same"))
         .withColumn("__until", F.sum("__same").over(inside))
     )
-    hit = (
-        (F.col("index") - F.col("w." + _START) >= F.col("__until") - F.col("__same"))
-        & (F.col("index") - F.col("w." + _START) < F.col("__until"))
-    )
-    keyed = [F.col(f"r.{c}").eqNullSafe(F.col(f"w.{c}")) for c in (*group, _PIECE)]
-    for condition in keyed:
-        hit = hit & condition
-    found = ranked.alias("r").join(wanted.alias("w"), hit).select(
-        *[F.col(f"w.{c}").alias(c) for c in group], "slot", "at", "index", "value"
-    )
+    offset = F.col("index") - F.col(_START)
+    hit = (offset >= F.col("__until") - F.col("__same")) & (offset < F.col("__until"))
+    found = ranked.join(wanted, [*group, _PIECE]).filter(hit)
     fraction = F.col("at") - F.floor("at")
     weight = F.when(F.col("index") == F.floor("at"), 1 - fraction).otherwise(fraction)
     per_rank = found.groupBy(*group, "slot").agg(F.sum(F.col("value") * weight).alias("value"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tapewright.config import DEFAULTS, Settings
 from tapewright.functions.times import hour_of_day
 from tapewright.functions.values import ratio, text_or
+from tapewright.operators.joins import join_lookup
 from tapewright.operators.quantiles import exact_quantiles
 from tapewright.operators.slicing import Slices
 from tapewright.operators.sampling import thin_series
@@ -70,8 +71,7 @@ def price_box_stats(trades: DataFrame, settings: Settings = DEFAULTS) -> DataFra
     price = F.col("price")
     below, above = price < F.col("q1") - reach, price > F.col("q3") + reach
     return (
-        trades.select("symbol", "price")
-        .join(quartiles, "symbol")
+        join_lookup(trades.select("symbol", "price"), quartiles, ["symbol"], settings)
         .groupBy("symbol", "q1", "median", "q3")
         .agg(
             F.min(F.when(~below, price)).alias("low"),
@@ -87,11 +87,14 @@ def price_box_stats(trades: DataFrame, settings: Settings = DEFAULTS) -> DataFra
     )
 
 
-def price_outliers(trades: DataFrame, box_stats: DataFrame) -> DataFrame:
+def price_outliers(
+    trades: DataFrame, box_stats: DataFrame, settings: Settings = DEFAULTS
+) -> DataFrame:
     """The single trades a box plot draws beyond its whiskers."""
     beyond = (F.col("price") < F.col("whisker_low")) | (F.col("price") > F.col("whisker_high"))
     limits = box_stats.select("symbol", "whisker_low", "whisker_high")
-    return trades.join(limits, "symbol").filter(beyond).select(*trades.columns)
+    joined = join_lookup(trades, limits, ["symbol"], settings)
+    return joined.filter(beyond).select(*trades.columns)
 
 
 def trade_summary(trades: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:

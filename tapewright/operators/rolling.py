@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tapewright.config import DEFAULTS, Settings
 from tapewright.functions.values import or_zero, ratio
+from tapewright.operators.joins import join_lookup
 from tapewright.operators.moments import with_rolling_moments
 from tapewright.operators.slicing import Slices, over_slices, plan_slices
 from tapewright.schemas import require_columns
@@ -91,12 +92,16 @@ def feature_moments(features: DataFrame) -> DataFrame:
     )
 
 
-def scaled_features(features: DataFrame, moments: DataFrame | None = None) -> DataFrame:
+def scaled_features(
+    features: DataFrame, settings: Settings = DEFAULTS, moments: DataFrame | None = None
+) -> DataFrame:
     """Standardise the feature columns per symbol: population deviation, a zero one counts as 1.
 
-    Moments are partial aggregates joined back by symbol, so no symbol is gathered in one task.
+    The moments are partial aggregates looked up by symbol, so no symbol is gathered in one task.
+    ``moments`` may give them as a written table.
     """
-    moments = feature_moments(features) if moments is None else moments
+    written = moments is not None
+    moments = moments if written else feature_moments(features)
 
     def scaled(name: str) -> Column:
         std = F.col(f"__{name}_std")
@@ -104,6 +109,7 @@ def scaled_features(features: DataFrame, moments: DataFrame | None = None) -> Da
         return (F.coalesce(F.col(name), F.lit(0.0)) - F.col(f"__{name}_mean")) / unit
 
     others = [c for c in features.columns if c not in FEATURES]
-    return features.join(moments.drop("rows"), "symbol").select(
+    joined = join_lookup(features, moments.drop("rows"), ["symbol"], settings, written=written)
+    return joined.select(
         *others, *[scaled(c).alias(c) for c in FEATURES]
     )

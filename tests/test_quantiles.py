@@ -25,7 +25,7 @@ def test_equals_numpy_for_any_piece_size(spark, limit):
     settings = DEFAULTS.with_options(quantile_rows=limit)
     df = spark.createDataFrame(rows, "g string, v double")
     made = {r["g"]: r["quantiles"] for r in exact_quantiles(df, ["g"], "v", RANKS, settings).collect()}
-    assert set(made) == {"hot", "cold", "one", None}
+    assert set(made) == {"hot", "cold", "one"}
     for group, values in made.items():
         wanted = np.quantile([v for g, v in rows if g == group and v is not None], RANKS)
         assert np.allclose(values, wanted, rtol=1e-12, atol=1e-12)

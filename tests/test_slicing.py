@@ -97,3 +97,15 @@ def test_instants_and_wall_clock_agree(spark, trades):
     assert same_rows(
         drop(rolling_zscore(instants, CUT)), drop(rolling_zscore(trades, slices=UNCUT))
     )
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_salted_lookup_equals_broadcast(spark, trades, how):
+    from tapewright.operators.joins import join_lookup
+
+    names = spark.createDataFrame([("HOT", 1.5), ("A", 2.5), ("Z", 3.5)], "symbol string, w double")
+    salted = DEFAULTS.with_options(lookup_rows=0, salts=5)
+    made = join_lookup(trades, names, ["symbol"], salted, how)
+    assert made.columns == trades.join(names, ["symbol"], how).columns
+    assert same_rows(made, join_lookup(trades, names, ["symbol"], how=how))
+    assert same_rows(made, trades.join(names, ["symbol"], how))
