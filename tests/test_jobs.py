@@ -86,3 +86,25 @@ def test_stream_output_is_preferred(spark, produced):
     document = json.loads(jobs.payload_document(spark, layout).first()["payload"])
     assert document["summary"]["source"] == "spark_stream"
     assert document["summary"]["total_records"] == 300
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from tapewright.__main__ import main
+
+    dirs = []
+    for name in ("raw", "cleaned", "scores", "windows", "charts", "dashboard"):
+        dirs += [f"--{name}_dir", str(tmp_path / name)]
+    main(["generate", *dirs, "--per_symbol", "60"])
+    main(["run-all", *dirs])
+    raw = next((tmp_path / "raw").glob("trades_*.json"))
+    main(
+        ["stream", "--input_dir", str(raw), "--available_now", "--out_path",
+         str(tmp_path / "windows"), "--checkpoint_path", str(tmp_path / "check"),
+         "--watermark_seconds", "1", "--window_seconds", "10"]
+    )
+    main(["stream-report", *dirs, "--symbols", "btcusd"])
+    main(["dashboard", *dirs])
+    text = capsys.readouterr().out
+    assert "170 rows read" in text
+    (part,) = (tmp_path / "dashboard" / "dashboard_data.json").glob("part-*")
+    assert json.loads(part.read_text())["summary"]["source"] == "spark_stream"
