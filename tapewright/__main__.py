@@ -42,6 +42,7 @@ def add_source(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
     parser.add_argument("--input_dir", help="read text files from here instead of a topic")
     parser.add_argument("--max_offsets", type=int, help="most records per batch")
+    parser.add_argument("--min_partitions", type=int, help="least read tasks per batch")
     parser.add_argument("--available_now", action="store_true", help="read what is there, then end")
     parser.add_argument("--duration_seconds", type=float, default=0, help="0: no limit")
     parser.add_argument("--max_events", type=int, default=0, help="0: no limit")
@@ -97,7 +98,9 @@ def run_stream(spark, args) -> None:
             "value", "current_timestamp() AS timestamp"
         )
     else:
-        source = topic_stream(spark, args.topic, args.bootstrap_servers, args.max_offsets)
+        source = topic_stream(
+            spark, args.topic, args.bootstrap_servers, args.max_offsets, args.min_partitions
+        )
     now = args.available_now
     if args.job == "stream":
         rows = windowed_records(source, settings, args.drop_repeats)

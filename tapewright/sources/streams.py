@@ -17,10 +17,12 @@ def topic_stream(
     topic: str = DEFAULT_TOPIC,
     servers: str = DEFAULT_SERVERS,
     max_offsets: int | None = None,
+    min_partitions: int | None = None,
 ) -> DataFrame:
     """``value`` and broker ``timestamp`` of a topic, from its beginning on the first start.
 
-    Needs Spark's Kafka connector on the class path. Parallelism follows the topic's partitions.
+    Needs Spark's Kafka connector on the class path. Reading is as parallel as the topic has
+    partitions; ``min_partitions`` splits them further.
     """
     options = {
         "kafka.bootstrap.servers": servers,
@@ -29,6 +31,8 @@ def topic_stream(
     }
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return spark.readStream.format("kafka").options(**options).load().select("value", "timestamp")
 
 
