@@ -96,12 +96,14 @@ def _with_axes(trades: DataFrame) -> DataFrame:
 def plan_slices(trades: DataFrame, settings: Settings = DEFAULTS) -> Slices:
     """Measure the table and decide the cuts.
 
-    Reads two or three key columns. What reaches the driver is bounded: symbols above
-    ``rows_per_slice`` (at most rows / rows_per_slice of them) and at most ``max_slices`` borders
-    per axis. A table without such a symbol is not cut.
+    Reads two or three key columns. A symbol is cut if it has more than ``rows_per_slice`` rows,
+    and more than the ``max_slices``-th part of the table. What reaches the driver is bounded: at
+    most ``max_slices`` symbols, and about as many borders per axis.
     """
     counts = trades.groupBy("symbol").agg(F.count("*").alias("rows"))
-    hot = counts.filter(F.col("rows") > settings.rows_per_slice).collect()
+    part = counts.agg(F.sum("rows").alias("rows")).select(F.col("rows") / settings.max_slices)
+    too_many = F.greatest(F.lit(float(settings.rows_per_slice)), part.scalar())
+    hot = counts.filter(F.col("rows") > too_many).collect()
     if not hot:
         return Slices((), (), (), ())
     symbols = tuple(sorted(row["symbol"] for row in hot))
