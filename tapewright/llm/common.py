@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tapewright.session import materialize
 
-__all__ = ["column", "in_batches", "letters", "materialize", "ship", "table", "utf8", "worker"]
+__all__ = ["column", "in_batches", "letters", "materialize", "ship", "sub_batches", "table", "utf8", "worker"]
 
 
 def ship(module: str) -> None:
@@ -73,6 +73,16 @@ def utf8(batch: pa.RecordBatch, name: str = "text"):
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def sub_batches(batch: pa.RecordBatch, limit: int = 1 << 22, name: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``limit`` bytes of text, or one longer text."""
+    _, offsets = utf8(batch, name)
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def letters(text: Column) -> Column:
     """Whether a text holds any letter."""
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.common import column, in_batches, letters, ship, utf8
+from tapewright.llm.common import column, in_batches, letters, ship, sub_batches, utf8
 
 ORDER = 4
 UNKNOWN = "und"
@@ -64,6 +64,10 @@ def _windows(data: np.ndarray) -> np.ndarray:
 
 
 def _count_windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    return pa.concat_batches([_counted(part) for part in sub_batches(batch)])
+
+
+def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
     langs = np.array(batch.column("lang").to_pylist(), dtype=object)
     raw, offsets = utf8(batch)
     out: list[tuple[str, np.ndarray, np.ndarray]] = []
@@ -249,13 +253,14 @@ def predict(docs: DataFrame, trees: Trees, text: str = "text", carry: tuple[str,
         known = np.array(batch.column("__letters").to_pylist(), bool) & bool(model.langs)
         langs, scores, bits = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows)
         if known.any():
-            raw, offsets = utf8(batch, "__text")
-            lengths = code_lengths(model, raw, offsets)
+            parts = [code_lengths(model, *utf8(p, "__text")) for p in sub_batches(batch, name="__text")]
+            lengths = np.concatenate(parts)
+            size = np.array(batch.column("__size").to_pylist())
             best = lengths.argmin(axis=1)
             least = lengths[np.arange(len(best)), best]
             share = 1.0 / np.exp2(-np.minimum(lengths - least[:, None], 1000.0)).sum(axis=1)
             scores = np.where(known, share, 0.0)
-            bits = np.where(known, least / np.maximum(np.diff(offsets), 1), 0.0)
+            bits = np.where(known, least / np.maximum(size, 1), 0.0)
             langs = [model.langs[b] if k else UNKNOWN for b, k in zip(best, known, strict=True)]
         given = [batch.column(f"__c{i}") for i in range(len(carry))]
         return pa.RecordBatch.from_arrays(
@@ -265,6 +270,7 @@ def predict(docs: DataFrame, trees: Trees, text: str = "text", carry: tuple[str,
 
     rows = docs.select(
         column(docs, text).alias("__text"), letters(column(docs, text)).alias("__letters"),
+        F.coalesce(F.octet_length(column(docs, text)), F.lit(0)).alias("__size"),
         *[column(docs, c).alias(f"__c{i}") for i, c in enumerate(carry)],
     )
     return in_batches(rows, score, f"{schema}, lang_pred string, score double, bits double")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpecount, packing, ppm, ring
+from tapewright.llm import bpecount, decontam, packing, partenum, ppm, ring, skipcrf
 from tapewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,3 +49,42 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select(
         "doc_id", "piece", "start", "length", F.col("ids_crc32"), "sequence_id", "offset"
     )
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold four fifths of a benchmark item's five-word shingles."""
+    return decontam.contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op4_decontamination"] = r"""
+WITH words AS (
+  SELECT 0 AS kind, doc_id AS id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents
+  UNION ALL
+  SELECT 1, item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') FROM benchmark
+), places AS (
+  SELECT kind, id, w, unnest(range(1, len(w) - 3)) AS i FROM words WHERE id IS NOT NULL AND len(w) >= 5
+), shingles AS (
+  SELECT DISTINCT kind, id, array_to_string(w[i : i + 4], ' ') AS shingle FROM places
+), items AS (
+  SELECT id AS item_id, shingle, count(*) OVER (PARTITION BY id) AS item_shingles FROM shingles WHERE kind = 1
+)
+SELECT d.id AS doc_id, item_id, item_shingles, count(*) AS shared,
+       count(*) / item_shingles AS containment
+FROM shingles d JOIN items USING (shingle)
+WHERE d.kind = 0
+GROUP BY d.id, item_id, item_shingles
+HAVING 5 * count(*) >= 4 * item_shingles
+"""
+
+
+@query
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under four-word Jaccard similarity of 0.85."""
+    return partenum.similar_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data of every document by rules and a skip-chain field."""
+    return skipcrf.personal_data(table(spark, sf_dir, "documents"))
