@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tapewright.session import materialize
 
-__all__ = ["column", "in_batches", "letters", "materialize", "ship", "sub_batches", "table", "utf8", "worker"]
+__all__ = ["anti_join", "column", "in_batches", "letters", "materialize", "ship", "sub_batches", "table", "utf8", "worker"]
 
 
 def ship(module: str) -> None:
@@ -83,6 +83,16 @@ def sub_batches(batch: pa.RecordBatch, limit: int = 1 << 22, name: str = "text")
         at = to
 
 
+#: Ids that are broadcast at most; beyond it tables are shuffled by id.
+ID_ROWS = 1_000_000
+
+
+def anti_join(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``rows`` without those whose ``key`` is among ``ids`` (counted once written)."""
+    written = materialize(ids.select(key), "ids")
+    return rows.join(F.broadcast(written) if written.count() <= ID_ROWS else written, key, "left_anti")
+
+
 def letters(text: Column) -> Column:
     """Whether a text holds any letter."""
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))

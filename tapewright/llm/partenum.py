@@ -30,13 +30,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.common import column, in_batches, materialize, ship, sub_batches, utf8
+from tapewright.llm.common import ID_ROWS, anti_join, column, in_batches, materialize, ship, sub_batches, utf8
 from tapewright.llm.components import components
 
 SPARE = 1
 CHOICES = 3
-#: Ids that are broadcast at most; beyond it tables are shuffled by id.
-ID_ROWS = 1_000_000
 #: Members of a signature's group that one task compares with its smallest at most.
 FOLLOWERS = 4_096
 _BLOCK = 1 << 20
@@ -204,11 +202,6 @@ def signature_rows(docs: DataFrame, words: int, percent: int, seed: int = 0) ->
     return docs.mapInArrow(sign, "sig long, doc_id long")
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame, many: int, how: str) -> DataFrame:
-    """``docs`` semi or anti joined with written ``ids``; broadcast only while they are few."""
-    return docs.join(F.broadcast(ids) if many <= ID_ROWS else ids, "doc_id", how)
-
-
 def _shared_groups(signatures: DataFrame) -> DataFrame:
     """grp, doc_id, lead of all signature groups with several documents; lead is the smallest.
 
@@ -294,9 +287,8 @@ def similar_components(
     copies = materialize(
         join_classes(named, classes).where("doc_id <> rep").select("doc_id", "rep").distinct(), "copies"
     )
-    many = copies.count()
     usable = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    single = _with_ids(usable, copies.select("doc_id"), many, "left_anti")
+    single = anti_join(usable, copies)
     groups = materialize(_shared_groups(signature_rows(single, words, percent)), "groups")
     pairs = materialize(groups.select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
     links = materialize(_verified(single, pairs, words, percent), "links")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import bpecount, decontam, packing, partenum, ppm, ring, skipcrf
+from tapewright.llm import ann, bpecount, decontam, idcodec, mincut, packing, partenum, ppm, ring, skipcrf
 from tapewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,22 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data of every document by rules and a skip-chain field."""
     return skipcrf.personal_data(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth embedding, by learned partitions."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page by a minimum cut."""
+    return mincut.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents through range-coded files."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return idcodec.round_trip(table(spark, sf_dir, "documents"), path, keep_ids=False)
