@@ -13,8 +13,8 @@ SPARE + 1 parts of a similar pair agree; empty choices count only in sets with m
 that have one.
 
 What shares a signature is not paired off: equal sets are one class beforehand, and in a signature's
-group every member is compared with the group's smallest one. Verified links make components; only
-groups that are still in several components are looked at again, pair by pair across components.
+group members are compared with one leader per round. Verified links make components; only groups
+that are still in several components are looked at again, at last pair by pair across components.
 
 Defined results: a text with fewer words is one shingle; without words or text the set is empty and
 linked with nothing, and the row is its own component. Rows without an id keep null as component.
@@ -32,11 +32,17 @@ from pyspark.sql import functions as F
 
 from tapewright.llm.common import ID_ROWS, anti_join, column, in_batches, materialize, ship, sub_batches, utf8
 from tapewright.llm.components import components
+from tapewright.operators.joins import join_lookup
 
 SPARE = 1
 CHOICES = 3
 #: Members of a signature's group that one task compares with its smallest at most.
 FOLLOWERS = 4_096
+#: Rounds with one leader per group, as ``_links`` tells.
+ROUNDS = 3
+#: 64-bit words of the map of missing shingles, and the columns of a profile.
+MASKS = 4
+PROFILE = ("n_lead", "n_own", "extra", *(f"mask{i}" for i in range(MASKS)))
 _BLOCK = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -203,32 +209,42 @@ def signature_rows(docs: DataFrame, words: int, percent: int, seed: int = 0) ->
 
 
 def _shared_groups(signatures: DataFrame) -> DataFrame:
-    """grp, doc_id, lead of all signature groups with several documents; lead is the smallest.
+    """grp, doc_id: the members of all signatures that several documents share."""
 
-    Each signature is first looked at per salt, so that members of a frequent one are spread; each
-    salt's smallest member goes on to the second look.
-    """
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def led(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig_now, lead_now = None, None
+        number = TaskContext.get().partitionId() << 40  # short names, for smaller files
+        sig_now, doc_now, alone = None, None, False
         for batch in batches:
-            sig = batch.column("sig").to_numpy()
-            doc = batch.column("doc_id").to_numpy()
+            sig, doc = batch.column("sig").to_numpy(), batch.column("doc_id").to_numpy()
             new = np.ones(len(sig), bool)
             new[1:] = sig[1:] != sig[:-1]
             new[0] = sig_now is None or sig[0] != sig_now
-            first = np.flatnonzero(new)
-            leads = np.concatenate([[doc[0] if lead_now is None else lead_now], doc[first]])
-            lead = leads[np.cumsum(new)]
-            sig_now, lead_now = sig[-1], lead[-1]
-            yield pa.record_batch({"sig": pa.array(sig), "doc_id": pa.array(doc), "lead": pa.array(lead)})
-
-    sorted_ = signatures.repartition("sig").sortWithinPartitions("sig", "doc_id")
-    return sorted_.mapInArrow(led, "sig long, doc_id long, lead long").where("lead <> doc_id")
-
-
-def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The rows (a, b) of written ``pairs`` whose sets are similar enough. a leads, b follows.
+            group = number + np.cumsum(new)
+            second = ~new
+            second[1:] &= new[:-1]
+            if not new[0]:
+                second[0] = alone
+            before = np.concatenate([[doc[0] if doc_now is None else doc_now], doc[:-1]])
+            yield pa.record_batch(
+                {
+                    "grp": pa.array(np.concatenate([group[second], group[~new]])),
+                    "doc_id": pa.array(np.concatenate([before[second], doc[~new]])),
+                }
+            )
+            alone = bool(new[-1])
+            sig_now, doc_now, number = sig[-1], doc[-1], int(group[-1])
+
+    sorted_ = signatures.repartition("sig").sortWithinPartitions("sig")
+    return sorted_.mapInArrow(shared, "grp long, doc_id long")
+
+
+def _compared(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b, d (Jaccard distance), linked and a profile of all written ``pairs``. a leads, b follows.
+
+    The profile: sizes of a and b, how many of b's shingles a lacks, and a bit map (folded by hash)
+    of a's shingles that b lacks.
 
     A leader's text meets its followers' texts in groups of about FOLLOWERS; a group is streamed,
     and only the leader's set and one follower's are held.
@@ -250,18 +266,27 @@ def _verified(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
         for batch in batches:
             for part in sub_batches(batch):
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-                keep = []
+                keep, found = [], []
                 for i, own in enumerate(shingle_sets(*utf8(part), words)):
                     if b[i] is None:
                         lead_now, items = a[i], own
                     elif lead_now == a[i] and len(own) and len(items):
-                        both = len(np.intersect1d(items, own, assume_unique=True))
-                        if 100 * both >= percent * (len(items) + len(own) - both):
-                            keep.append(i)
-                yield part.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+                        missed = items[~np.isin(items, own, assume_unique=True)]
+                        both = len(items) - len(missed)
+                        every = len(own) + len(missed)
+                        bits = np.zeros(64 * MASKS, np.uint8)
+                        bits[(missed % np.uint64(64 * MASKS)).astype(np.int64)] = 1
+                        keep.append(i)
+                        found.append((1 - both / every, 100 * both >= percent * every, len(items), len(own), len(own) - both,
+                                      *np.packbits(bits, bitorder="little").view(np.int64).tolist()))
+                out = part.select(["a", "b"]).take(pa.array(keep, pa.int64()))
+                columns = list(zip(*found, strict=True)) or [[]] * (5 + MASKS)
+                kinds = [pa.float64(), pa.bool_()] + [pa.int64()] * (3 + MASKS)
+                arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*out.columns, *arrays], names=["a", "b", "d", "linked", *PROFILE])
 
     order = met.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return order.mapInArrow(verify, "a long, b long")
+    return order.mapInArrow(verify, "a long, b long, d double, linked boolean, " + ", ".join(f"{c} long" for c in PROFILE))
 
 
 def join_salts(pairs: DataFrame, salts: DataFrame) -> DataFrame:
@@ -283,43 +308,107 @@ def similar_components(
     rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), column(docs, text).alias("text"))
     sets = materialize(shingle_summary(rows, words), "sets")
     named = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = named.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"))
+    classes = named.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    classes = classes.where("rep < last").drop("last")
     copies = materialize(
-        join_classes(named, classes).where("doc_id <> rep").select("doc_id", "rep").distinct(), "copies"
+        join_lookup(named, classes, ["n_shingles", "f1", "f2"]).where("doc_id <> rep").select("doc_id", "rep").distinct(),
+        "copies",
     )
     usable = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     single = anti_join(usable, copies)
-    groups = materialize(_shared_groups(signature_rows(single, words, percent)), "groups")
-    pairs = materialize(groups.select(F.col("lead").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = materialize(_verified(single, pairs, words, percent), "links")
-    further = materialize(_open_pairs(groups, materialize(components(links), "nodes"), pairs), "pairs")
-    links = links.unionByName(_verified(single, further, words, percent))
+    members = materialize(_shared_groups(signature_rows(single, words, percent)), "groups")
+    links = _links(single, members, words, percent)
     same = copies.select(F.col("doc_id").alias("b"), F.col("rep").alias("a"))
     ends = materialize(components(links.unionByName(same)), "components")
     out = sets.join(ends.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def join_classes(named: DataFrame, classes: DataFrame) -> DataFrame:
-    """Each row with its class's smallest id; a class of many copies is split by salts."""
-    return named.join(classes, ["n_shingles", "f1", "f2"])
+def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b: verified links that connect all similar documents.
 
-
-def _open_pairs(groups: DataFrame, nodes: DataFrame, done: DataFrame) -> DataFrame:
-    """Untested pairs that share a signature but no component, once each."""
-    label = nodes.select(F.col("node").alias("doc_id"), F.col("component"))
-    members = groups.select("sig", "doc_id").unionByName(
-        groups.select("sig", F.col("lead").alias("doc_id")).distinct()
-    )
-    named = members.join(label, "doc_id", "left").select(
-        "sig", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    split = named.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    open_ = materialize(named.join(split.select("sig"), "sig"), "open")
-    x = open_.select("sig", F.col("doc_id").alias("a"), F.col("component").alias("ca"))
-    y = open_.select("sig", F.col("doc_id").alias("b"), F.col("component").alias("cb"))
-    met = x.join(y, "sig").where("a < b and ca <> cb").select("a", "b").distinct()
-    return met.join(done, ["a", "b"], "left_anti")
+    In each round every open group has a leader, and its members are compared with it: as many pairs
+    as members. Leaders are drawn by a hash, then have the most links so far, then are the farthest
+    from the second leader. Groups within one component are done. What is left is compared pair by
+    pair, across components, where no leader rules it out: Jaccard distance is a metric, so documents
+    whose distances from a leader differ by more than the limit are not similar; and two documents share
+    no more than what neither lacks of the leader, and the smaller of what each has besides (a
+    leader's own profile is unknown and rules nothing out). Similar sets share
+    at least three signatures (one of two agreeing parts has no difference and no empty choice but
+    one). So every similar pair is tested or connected.
+    """
+    far = (100 - percent) / 100 + 1e-9
+    nodes = degrees = None
+    tests = []
+    for turn in range(ROUNDS):
+        named = _labelled(members, nodes, degrees)
+        draw = F.xxhash64("doc_id", F.lit(turn)).alias("h")
+        first = (F.lit(0), F.col("degree"), F.col("d1") if turn == 2 else F.lit(0))[turn]
+        leader = F.max(F.struct(first.alias("f"), draw, "doc_id"))
+        heads = named.groupBy("grp").agg(leader.alias("l"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+        heads = heads.where("lo < hi").select("grp", F.col("l.doc_id").alias("a"))
+        kept = [c for c in members.columns if c not in ("component", "degree")]
+        met = named.select(*kept, "component").join(heads, "grp")
+        met = materialize(met, "open") if turn else met
+        pairs = materialize(met.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
+        tests.append(materialize(_compared(docs, pairs, words, percent), "tests"))
+        links = _union(tests).where("linked").select("a", "b")
+        nodes = materialize(components(links), "nodes")
+        degrees = materialize(_degrees(links), "degrees")
+        # Distances from the leader go with the members; few enough of them are broadcast.
+        carried = [F.col(c).alias(f"{c}_{turn}") for c in PROFILE]
+        known = tests[-1].select("a", F.col("b").alias("doc_id"), F.col("d").alias(f"d{turn}"), *carried)
+        known = F.broadcast(known) if tests[-1].count() <= ID_ROWS else known
+        members = met.join(known, ["a", "doc_id"], "left").withColumn(
+            f"d{turn}", F.when(F.col("a") == F.col("doc_id"), 0.0).otherwise(F.col(f"d{turn}"))
+        ).drop("a", "component")
+    named = materialize(_open_groups(_labelled(members, nodes)), "open")
+    ends = [named.select("grp", *(F.col(c).alias(f"{e}_{c}") for c in named.columns if c != "grp")) for e in "xy"]
+    near = [F.abs(F.col(f"x_d{t}") - F.col(f"y_d{t}")) <= far for t in range(ROUNDS)]
+    for t in range(ROUNDS):
+        lacking = F.lit(0)
+        for c in PROFILE[3:]:
+            lacking += F.bit_count(F.col(f"x_{c}_{t}").bitwiseOR(F.col(f"y_{c}_{t}")))
+        most = F.col(f"x_n_lead_{t}") - lacking + F.least(f"x_extra_{t}", f"y_extra_{t}")
+        near.append(100 * most >= percent * (F.col(f"x_n_own_{t}") + F.col(f"y_n_own_{t}") - most))
+    rule = (F.col("x_doc_id") < F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component"))
+    for n in near:
+        rule &= F.coalesce(n, F.lit(True))
+    across = ends[0].join(ends[1], "grp").where(rule).groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
+    rest = across.count().where("count >= 3").select("a", "b")
+    rest = materialize(rest, "rest")
+    tests.append(materialize(_compared(docs, rest, words, percent), "tests"))
+    return _union(tests).where("linked").select("a", "b")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _degrees(links: DataFrame) -> DataFrame:
+    both = links.select(F.col("a").alias("doc_id")).unionAll(links.select("b"))
+    return both.groupBy("doc_id").agg(F.count("*").alias("degree"))
+
+
+def _open_groups(named: DataFrame) -> DataFrame:
+    """The members of groups with several components."""
+    split = named.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+    return named.join(split.select("grp"), "grp")
+
+
+def _labelled(members: DataFrame, nodes: DataFrame | None, degrees: DataFrame | None = None) -> DataFrame:
+    """Members with their component and degree; unlinked documents are their own component."""
+    if nodes is None:
+        return members.withColumns({"component": F.col("doc_id"), "degree": F.lit(0)})
+    label = nodes.select(F.col("node").alias("doc_id"), "component")
+    if degrees is not None:
+        label = label.join(degrees, "doc_id", "left")
+    label = F.broadcast(label) if nodes.count() <= ID_ROWS else label
+    out = members.join(label, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    return out if degrees is None else out.withColumn("degree", F.coalesce("degree", F.lit(0)))
 
 
 ship(__name__)
