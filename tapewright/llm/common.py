@@ -84,7 +84,7 @@ def sub_batches(batch: pa.RecordBatch, limit: int = 1 << 22, name: str = "text")
 
 
 #: Ids that are broadcast at most; beyond it tables are shuffled by id.
-ID_ROWS = 1_000_000
+ID_ROWS = 400_000
 
 
 def anti_join(rows: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:

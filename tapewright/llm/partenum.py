@@ -36,12 +36,14 @@ from tapewright.operators.joins import join_lookup
 
 SPARE = 1
 CHOICES = 3
+#: Rows with profiles that are broadcast at most.
+WIDE_ROWS = 100_000
 #: Members of a signature's group that one task compares with its smallest at most.
 FOLLOWERS = 4_096
 #: Rounds with one leader per group, as ``_links`` tells.
 ROUNDS = 3
 #: 64-bit words of the map of missing shingles, and the columns of a profile.
-MASKS = 4
+MASKS = 8
 PROFILE = ("n_lead", "n_own", "extra", *(f"mask{i}" for i in range(MASKS)))
 _BLOCK = 1 << 20
 
@@ -125,7 +127,11 @@ def bands(size: int, percent: int) -> list[tuple[int, int]]:
 
 
 class Signer:
-    """Signatures of sets for one threshold and seed."""
+    """Signatures of sets for one threshold and seed.
+
+    The lowest bit of a signature tells that it is for the band above the set's own. Two sets of one
+    band meet under their own band's signatures, so groups need a member whose own band it is.
+    """
 
     def __init__(self, percent: int, seed: int = 0):
         self.percent, self.seed = percent, seed
@@ -140,7 +146,8 @@ class Signer:
         if not len(items):
             return np.zeros(0, np.uint64)
         own = self.band(len(items))
-        return np.concatenate([self._instance(items, b) for b in (own, own + 1)])
+        low = np.uint64(1)
+        return np.concatenate([self._instance(items, own) << low, (self._instance(items, own + 1) << low) | low])
 
     def _instance(self, items: np.ndarray, band: int) -> np.ndarray:
         largest = int(self.ends[band])
@@ -190,7 +197,7 @@ def shingle_summary(docs: DataFrame, words: int) -> DataFrame:
 
 
 def signature_rows(docs: DataFrame, words: int, percent: int, seed: int = 0) -> DataFrame:
-    """sig, doc_id: all signatures of (doc_id, text)."""
+    """sig, doc_id: all signatures of (doc_id, text); the last bit is no part of the name."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         signer = Signer(percent, seed)
@@ -209,35 +216,45 @@ def signature_rows(docs: DataFrame, words: int, percent: int, seed: int = 0) ->
 
 
 def _shared_groups(signatures: DataFrame) -> DataFrame:
-    """grp, doc_id: the members of all signatures that several documents share."""
+    """grp, doc_id, own: the members of all signatures that several documents share.
+
+    Groups without a member of the signature's own band are left out.
+    """
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 40  # short names, for smaller files
-        sig_now, doc_now, alone = None, None, False
+        name_now, doc_now, own_now, alone, fine = None, None, True, False, False
         for batch in batches:
             sig, doc = batch.column("sig").to_numpy(), batch.column("doc_id").to_numpy()
+            name, own = sig >> 1, (sig & 1) == 0
             new = np.ones(len(sig), bool)
-            new[1:] = sig[1:] != sig[:-1]
-            new[0] = sig_now is None or sig[0] != sig_now
-            group = number + np.cumsum(new)
+            new[1:] = name[1:] != name[:-1]
+            new[0] = name_now is None or name[0] != name_now
+            count = np.cumsum(new)
+            group = number + count
+            # Own members come first, so a group's first member tells whether it has any.
+            has_own = np.concatenate([[fine], own[new]])[count]
             second = ~new
             second[1:] &= new[:-1]
             if not new[0]:
                 second[0] = alone
-            before = np.concatenate([[doc[0] if doc_now is None else doc_now], doc[:-1]])
+            first_doc = np.concatenate([[doc[0] if doc_now is None else doc_now], doc[:-1]])
+            first_own = np.concatenate([[own_now], own[:-1]])
+            second, later = second & has_own, ~new & has_own
             yield pa.record_batch(
                 {
-                    "grp": pa.array(np.concatenate([group[second], group[~new]])),
-                    "doc_id": pa.array(np.concatenate([before[second], doc[~new]])),
+                    "grp": pa.array(np.concatenate([group[second], group[later]])),
+                    "doc_id": pa.array(np.concatenate([first_doc[second], doc[later]])),
+                    "own": pa.array(np.concatenate([first_own[second], own[later]])),
                 }
             )
-            alone = bool(new[-1])
-            sig_now, doc_now, number = sig[-1], doc[-1], int(group[-1])
+            alone, fine = bool(new[-1]), bool(has_own[-1])
+            name_now, doc_now, own_now, number = name[-1], doc[-1], bool(own[-1]), int(group[-1])
 
-    sorted_ = signatures.repartition("sig").sortWithinPartitions("sig")
-    return sorted_.mapInArrow(shared, "grp long, doc_id long")
+    sorted_ = signatures.repartition(F.shiftright("sig", 1)).sortWithinPartitions("sig")
+    return sorted_.mapInArrow(shared, "grp long, doc_id long, own boolean")
 
 
 def _compared(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -332,8 +349,8 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     from the second leader. Groups within one component are done. What is left is compared pair by
     pair, across components, where no leader rules it out: Jaccard distance is a metric, so documents
     whose distances from a leader differ by more than the limit are not similar; and two documents share
-    no more than what neither lacks of the leader, and the smaller of what each has besides (a
-    leader's own profile is unknown and rules nothing out). Similar sets share
+    no more than what neither lacks of the leader, and the smaller of what each has besides (profiles
+    of the second leader; the leader's own is unknown and rules nothing out). Similar sets share
     at least three signatures (one of two agreeing parts has no difference and no empty choice but
     one). So every similar pair is tested or connected.
     """
@@ -344,7 +361,7 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
         named = _labelled(members, nodes, degrees)
         draw = F.xxhash64("doc_id", F.lit(turn)).alias("h")
         first = (F.lit(0), F.col("degree"), F.col("d1") if turn == 2 else F.lit(0))[turn]
-        leader = F.max(F.struct(first.alias("f"), draw, "doc_id"))
+        leader = F.max(F.struct("own", first.alias("f"), draw, "doc_id"))
         heads = named.groupBy("grp").agg(leader.alias("l"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         heads = heads.where("lo < hi").select("grp", F.col("l.doc_id").alias("a"))
         kept = [c for c in members.columns if c not in ("component", "degree")]
@@ -356,22 +373,22 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
         nodes = materialize(components(links), "nodes")
         degrees = materialize(_degrees(links), "degrees")
         # Distances from the leader go with the members; few enough of them are broadcast.
-        carried = [F.col(c).alias(f"{c}_{turn}") for c in PROFILE]
+        carried = PROFILE if turn == 1 else ()
         known = tests[-1].select("a", F.col("b").alias("doc_id"), F.col("d").alias(f"d{turn}"), *carried)
-        known = F.broadcast(known) if tests[-1].count() <= ID_ROWS else known
+        known = F.broadcast(known) if tests[-1].count() <= WIDE_ROWS else known
         members = met.join(known, ["a", "doc_id"], "left").withColumn(
             f"d{turn}", F.when(F.col("a") == F.col("doc_id"), 0.0).otherwise(F.col(f"d{turn}"))
         ).drop("a", "component")
     named = materialize(_open_groups(_labelled(members, nodes)), "open")
     ends = [named.select("grp", *(F.col(c).alias(f"{e}_{c}") for c in named.columns if c != "grp")) for e in "xy"]
     near = [F.abs(F.col(f"x_d{t}") - F.col(f"y_d{t}")) <= far for t in range(ROUNDS)]
-    for t in range(ROUNDS):
-        lacking = F.lit(0)
-        for c in PROFILE[3:]:
-            lacking += F.bit_count(F.col(f"x_{c}_{t}").bitwiseOR(F.col(f"y_{c}_{t}")))
-        most = F.col(f"x_n_lead_{t}") - lacking + F.least(f"x_extra_{t}", f"y_extra_{t}")
-        near.append(100 * most >= percent * (F.col(f"x_n_own_{t}") + F.col(f"y_n_own_{t}") - most))
-    rule = (F.col("x_doc_id") < F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component"))
+    lacking = F.lit(0)
+    for c in PROFILE[3:]:
+        lacking += F.bit_count(F.col(f"x_{c}").bitwiseOR(F.col(f"y_{c}")))
+    most = F.col("x_n_lead") - lacking + F.least("x_extra", "y_extra")
+    near.append(100 * most >= percent * (F.col("x_n_own") + F.col("y_n_own") - most))
+    near.append(100 * F.least("x_n_own", "y_n_own") >= percent * F.greatest("x_n_own", "y_n_own"))
+    rule = (F.col("x_own") | F.col("y_own")) & (F.col("x_doc_id") < F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component"))
     for n in near:
         rule &= F.coalesce(n, F.lit(True))
     across = ends[0].join(ends[1], "grp").where(rule).groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))

@@ -10,9 +10,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import numpy as np
+
 from tapewright.llm.common import ship, worker
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_MARKS = ".,;:!?*$%&#\")]}|"
 
 
 class ChunkEncoder:
@@ -21,7 +24,7 @@ class ChunkEncoder:
     ``capacity`` bounds the number of remembered chunks; the memory is emptied when it is full.
     """
 
-    def __init__(self, path: str, capacity: int = 250_000):
+    def __init__(self, path: str, capacity: int = 700_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -30,22 +33,58 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.capacity = capacity
         self.known: dict[str, bytes | None] = {}
+        self.parts: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.folds = self._ids(["A"]) == self._ids(["a"])
+        # A word of letters is one pre-token: its last id is marked as an end, or its first as a start.
+        self.ends = any(t.endswith("</w>") for t in vocabulary)
+        marked = [i for t, i in vocabulary.items() if (t.endswith("</w>") if self.ends else t.startswith("\u0120"))]
+        self.marked = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.marked[marked] = True
 
     def _ids(self, chunks: Sequence[str]) -> list[bytes]:
-        import numpy as np
-
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         done = encode(list(chunks), add_special_tokens=False)
         return [np.array(e.ids, dtype="<u4").tobytes() for e in done]
 
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of ``' ' + word`` for words of letters, encoded together and cut at word marks."""
+        out: list[bytes] = []
+        for i in range(0, len(words), 1024):
+            part = words[i : i + 1024]
+            ids = np.frombuffer(self._ids([" " + " ".join(part)])[0], "<u4")
+            cuts = np.flatnonzero(self.marked[ids]) + self.ends
+            if len(cuts) == len(part) and (cuts[-1] == len(ids) if self.ends else cuts[0] == 0):
+                inner = cuts[:-1] if self.ends else cuts[1:]
+                out += [x.tobytes() for x in np.split(ids, inner)]
+            else:
+                out += self._ids([" " + w for w in part])
+        return out
+
     def _learn(self, words: list[str]) -> None:
-        """Remember ``' ' + word`` for plain words; others are marked, as they may touch space."""
-        plain = [w for w in words if w and w == w.strip()]
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            self.known.update(zip(part, self._ids([" " + w for w in part]), strict=True))
+        """Remember ``' ' + word`` for plain words; others are marked, as they may touch space.
+
+        Letters and the ASCII marks after them are pre-tokens of their own, so they are learnt apart.
+        """
+        parts, split, odd = self.parts, [], []
+        if len(parts) > self.capacity:
+            parts.clear()
         for w in words:
-            self.known.setdefault(w, None)
+            core = w.rstrip(_MARKS)
+            if core.isalpha():
+                split.append((w, core.lower() if self.folds and max(core) <= "\u00ff" else core, w[len(core) :]))
+            elif w and w == w.strip():
+                odd.append(w)
+            else:
+                self.known[w] = None
+        cores = [c for c in dict.fromkeys(c for _, c, _ in split) if c not in parts]
+        parts.update(zip(cores, self._letters(cores), strict=True))
+        tails = [t for t in dict.fromkeys(t for _, _, t in split) if t and t not in parts]
+        parts.update(zip(tails, self._ids(tails), strict=True))
+        self.known.update((w, parts[core] + parts[tail] if tail else parts[core]) for w, core, tail in split)
+        for i in range(0, len(odd), 4096):
+            part = odd[i : i + 4096]
+            self.known.update(zip(part, self._ids([" " + w for w in part]), strict=True))
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out = []
