@@ -178,7 +178,7 @@ def learn(x: np.ndarray, length: float, parts: int, k: int, aim: float) -> Route
 
 def nearest(
     vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 20, sample: int = 10_000,
-    rows_per_part: int = 1_500, most_parts: int = 256, aim: float = 0.95, vector: str = "embedding", vec_id: str = "vec_id",
+    rows_per_part: int = 5_000, most_parts: int = 256, aim: float = 0.95, vector: str = "embedding", vec_id: str = "vec_id",
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found of each row with ``is_query(vec_id)``."""
     spark = vectors.sparkSession
