@@ -36,7 +36,7 @@ class Settings:
     slice_sample_rows: int = 50
     quantile_rows: int = 2_000_000
     lookup_rows: int = 200_000
-    salts: int = 64
+    salt_rows: int = 2_000_000
     forest_broadcast_bytes: int = 128 * 1024 * 1024
     forest_chunk_rows: int = 500_000
 

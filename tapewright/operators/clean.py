@@ -127,6 +127,9 @@ def cleaning_report(trades: DataFrame, settings: Settings = DEFAULTS) -> DataFra
 
 
 def symbol_filter(trades: DataFrame, symbols: str | Sequence[str]) -> DataFrame:
-    """Rows of the subscribed symbols, given as a list or as comma-separated text."""
-    names = split_symbols(symbols) if isinstance(symbols, str) else list(symbols)
+    """Rows of the subscribed symbols, given as a list or as comma-separated text of product ids."""
+    if isinstance(symbols, str):
+        names = [name.replace("-", "") for name in split_symbols(symbols)]
+    else:
+        names = list(symbols)
     return trades.filter(F.col("symbol").isin(*names))

@@ -56,9 +56,8 @@ def stream_payload(
     windows: DataFrame, forest_scored: DataFrame, settings: Settings = DEFAULTS,
     pretty: bool = True,
 ) -> DataFrame:
-    """Document over window rows. The full price series is a dataset of its own; here it is
-    thinned per symbol, so that the document stays small."""
-    series = reports.stream_price_series(windows, settings.payload_series_points, settings)
+    """Document over window rows, with the price of every window."""
+    series = reports.stream_price_series(windows, settings=settings)
     totals = reports.stream_symbol_aggregates(windows)
     newest = reports.stream_anomaly_history(windows, settings)
     parts = {

@@ -28,6 +28,7 @@ from tapewright.functions.times import utc_micros
 
 SLICE = "__slice"
 POSITION = "__position"
+TIE = "__tie"
 _TIME_AXIS, _ID_AXIS = "__time_axis", "__id_axis"
 _TIME_SLICE, _ID_SLICE = "__time_slice", "__id_slice"
 _LAST = 9.0e18  # axis value of a missing time or id: they sort last
@@ -57,18 +58,24 @@ def sampled_borders(df: DataFrame, axis: str, rows: int, pieces: int, per_piece:
     return sorted(borders)
 
 
+def among(symbol: Column, symbols: tuple[str | None, ...]) -> Column:
+    """Whether ``symbol`` is one of ``symbols``; a missing symbol is a symbol like any other."""
+    named = F.coalesce(symbol.isin(*[s for s in symbols if s is not None]), F.lit(False))
+    return named | symbol.isNull() if None in symbols else named
+
+
 @dataclass(frozen=True)
 class Slices:
     """Borders for one table: which symbols are cut, and where."""
 
-    hot_symbols: tuple[str, ...]
+    hot_symbols: tuple[str | None, ...]
     time_borders: tuple[float, ...]
     id_borders: tuple[float, ...]
     hot_times: tuple[float, ...]
 
     @property
     def is_hot(self) -> Column:
-        return F.coalesce(F.col("symbol").isin(*self.hot_symbols), F.lit(False))
+        return among(F.col("symbol"), self.hot_symbols)
 
     def assign(self, trades: DataFrame) -> DataFrame:
         """Add the slice number; slices follow the (time, id) order inside each symbol."""
@@ -106,11 +113,11 @@ def plan_slices(trades: DataFrame, settings: Settings = DEFAULTS) -> Slices:
     hot = counts.filter(F.col("rows") > too_many).collect()
     if not hot:
         return Slices((), (), (), ())
-    symbols = tuple(sorted(row["symbol"] for row in hot))
+    symbols = tuple(sorted((row["symbol"] for row in hot), key=lambda s: (s is not None, s or "")))
     rows = sum(row["rows"] for row in hot)
     pieces = min(settings.max_slices, -(-rows // settings.rows_per_slice))
     keys = _with_axes(
-        trades.filter(F.col("symbol").isin(*symbols)).select("symbol", "trade_time", "trade_id")
+        trades.filter(among(F.col("symbol"), symbols)).select("symbol", "trade_time", "trade_id")
     )
     sampled = sampled_borders(keys, _TIME_AXIS, rows, pieces, settings.slice_sample_rows)
     # A time that fills a whole slice repeats among the quantiles: cut it by id instead.
@@ -128,13 +135,19 @@ def next_micro(axis_value: float) -> float:
     return axis_value + 1.0 if axis_value < _LAST else axis_value
 
 
-def series_window(*extra: str):
-    """Time order of a symbol, missing times and ids last, ties broken by id."""
+def series_window(*extra: str, tie: str | None = None):
+    """Time order of a symbol, missing times and ids last, ties broken by id, then by ``tie``."""
+    last = [F.col(tie)] if tie else []
     return Window.partitionBy("symbol", *extra).orderBy(
-        F.asc_nulls_last("trade_time"), F.asc_nulls_last("trade_id")
+        F.asc_nulls_last("trade_time"), F.asc_nulls_last("trade_id"), *last
     )
 
 
+def with_tie(trades: DataFrame) -> DataFrame:
+    """Add a hash of all columns, so that every reader of a cut series sees one and the same order."""
+    return trades.withColumn(TIE, F.xxhash64(*trades.columns))
+
+
 def over_slices(
     trades: DataFrame,
     slices: Slices,
@@ -148,9 +161,9 @@ def over_slices(
     """
     if not slices.hot_symbols:
         return add(trades, series_window())
-    window = series_window(SLICE)
+    window = series_window(SLICE, tie=TIE)
     whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    numbered = slices.assign(trades).withColumns(
+    numbered = slices.assign(with_tie(trades)).withColumns(
         {POSITION: F.row_number().over(window), "__size": F.count("*").over(whole)}
     )
     is_head = slices.is_hot & (F.col(POSITION) <= reach)
@@ -163,7 +176,7 @@ def over_slices(
     )
     along = Window.partitionBy("symbol").orderBy(SLICE, POSITION)
     heads = add(borders, along).filter(F.col(POSITION) <= reach)
-    helpers = (SLICE, POSITION, "__size")
+    helpers = (SLICE, POSITION, TIE, "__size")
     return inside.drop(*helpers).unionByName(heads.drop(*helpers))
 
 
@@ -177,17 +190,18 @@ def with_position(trades: DataFrame, slices: Slices, total: str | None = None) -
         whole = Window.partitionBy("symbol")
         placed = trades.withColumn(POSITION, F.row_number().over(series_window()))
         return placed.withColumn(total, F.count("*").over(whole)) if total else placed
-    sized = slices.assign(trades)
+    sized = slices.assign(with_tie(trades))
     sizes = sized.groupBy("symbol", SLICE).agg(F.count("*").alias("__size"))
     before = Window.partitionBy("symbol").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "symbol",
-        SLICE,
+        F.col("symbol").alias("__of_symbol"),
+        F.col(SLICE).alias("__of_slice"),
         F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__before"),
         F.sum("__size").over(Window.partitionBy("symbol")).alias(total or "__total"),
     )
-    inside = sized.withColumn("__rank", F.row_number().over(series_window(SLICE)))
-    placed = inside.join(offsets, ["symbol", SLICE]).withColumn(
+    inside = sized.withColumn("__rank", F.row_number().over(series_window(SLICE, tie=TIE)))
+    own = F.col("symbol").eqNullSafe(F.col("__of_symbol")) & (F.col(SLICE) == F.col("__of_slice"))
+    placed = inside.join(offsets, own).withColumn(
         POSITION, F.col("__rank") + F.col("__before")
     )
     return placed.select(*wanted)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tapewright.config import Settings
 from tapewright.functions.times import as_instant, as_wall_clock, iso_text
 from tapewright.operators import clean, forest, payload, reports, rolling, windows
+from tapewright.operators.joins import join_lookup
 from tapewright.operators.parse import (
     compact_json,
     keyed_records,
@@ -116,7 +117,7 @@ def synthetic_query(spark, sf_dir):
     """Generated trades: as many per symbol as given, around each symbol's mean given price."""
     given = valid(spark, sf_dir)
     bases = given.groupBy("symbol").agg(F.round(F.avg("price"), 2).alias("base_price"))
-    slots = given.join(bases, "symbol").select(
+    slots = join_lookup(given, bases, ["symbol"]).select(
         "symbol", "base_price", F.col("trade_id").alias("n"), F.lit(100_000_000).alias("first_id")
     )
     made = synthesize(slots, 42, F.lit(SYNTHETIC_START_MS), rows_per_block=20_000)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,13 +28,15 @@ def build_session(app_name: str = "tapewright", master: str | None = None, **con
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``.
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Only where the session names none, as in a local test, a temporary folder is made and
-    remembered in the session.
+    Only where neither is set and all runs in one process, as in a local test, a temporary folder is
+    made and remembered in the session. A cluster without a shared folder is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("Set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tapewright-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

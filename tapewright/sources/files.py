@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,11 @@ from tapewright.operators.parse import parse_trades
 from tapewright.schemas import WINDOW_AGGREGATE
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether an error says that there is no such input, and not that it is broken."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def latest_input(spark: SparkSession, directory: str, pattern: str) -> str | None:
     """Path of the most recently modified file, or directory of part files, that matches.
 
@@ -21,10 +29,13 @@ def latest_input(spark: SparkSession, directory: str, pattern: str) -> str | Non
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
         files = listing.load(f"{base}/{pattern}").select("path", "modificationTime")
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return None
-    below = F.element_at(F.split(F.col("path"), F.lit(f"{base}/"), 2), -1)
-    entry = F.substring_index(below, "/", 1)
+    where = spark._jvm.org.apache.hadoop.fs.Path(base)
+    whole = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    entry = F.substring_index(F.substring(F.col("path"), len(whole) + 2, 1 << 20), "/", 1)
     newest = (
         files.groupBy(entry.alias("entry"))
         .agg(F.max("modificationTime").alias("changed"))
@@ -51,10 +62,6 @@ def read_raw_trades(spark: SparkSession, path: str) -> DataFrame:
     return parse_trades(read_records(spark, path))
 
 
-def _as_text(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
-
-
 def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns to ``schema``; unreadable values give null, unreadable flags false."""
 
@@ -69,10 +76,37 @@ def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[typed(f).alias(f.name) for f in schema])
 
 
+def csv_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The headers of the CSV files below ``path``, and the files of each.
+
+    The first line of each file's first block is its header. What reaches the driver is one line
+    per file.
+    """
+    text = spark.read.option("recursiveFileLookup", "true").text(path)
+    lines = text.select("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"), "value")
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.min(F.struct("n", "value"))["value"].alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in first.orderBy("file_path").collect():
+        names = tuple(name.strip() for name in next(csv.reader([row["header"].lstrip("\ufeff")]), []))
+        found.setdefault(names, []).append(unquote(row["file_path"]))  # Spark encodes it
+    return found
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV, matched to ``schema`` by position and read leniently."""
-    reader = spark.read.option("header", "true").option("recursiveFileLookup", "true")
-    return typed_columns(reader.schema(_as_text(schema)).csv(path), schema)
+    """Header CSV below ``path``, matched to ``schema`` by column name and read leniently.
+
+    Files may have other orders of columns, further columns, or lack some, which are null then.
+    """
+    out = None
+    for names, files in csv_layouts(spark, path).items():
+        if not set(names) & set(schema.names):
+            raise ValueError(f"No known column in the header of {files[0]}")
+        text = T.StructType([T.StructField(name, T.StringType(), True) for name in names])
+        raw = spark.read.option("header", "true").schema(text).csv(files)
+        absent = {f.name: F.lit(None).cast("string") for f in schema if f.name not in names}
+        rows = typed_columns(raw.withColumns(absent) if absent else raw, schema)
+        out = rows if out is None else out.unionByName(rows)
+    return spark.createDataFrame([], schema) if out is None else out
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -91,8 +125,9 @@ def read_optional(spark: SparkSession, path: str | None, schema: T.StructType) -
     if path is not None:
         try:
             return read_table(spark, path, schema)
-        except AnalysisException:
-            pass
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
     return spark.createDataFrame([], schema)
 
 
@@ -105,14 +140,15 @@ def read_stream_aggregates(spark: SparkSession, directory: str) -> DataFrame:
     try:
         rows = read_sink(spark, directory)
     except AnalysisException as error:
+        if not is_missing(error):
+            raise
         raise FileNotFoundError(f"No window aggregates under {directory}") from error
     return rows.withColumn("anomaly_reason", F.coalesce("anomaly_reason", F.lit("")))
 
 
 def read_sink(spark: SparkSession, directory: str) -> DataFrame:
     """A streaming sink's output in CSV (header) or parquet form."""
-    probe = spark.read.format("text").load(directory).select("_metadata.file_name").limit(1).first()
-    if probe is None or ".csv" not in probe["file_name"]:
-        return spark.read.schema(WINDOW_AGGREGATE).parquet(directory)
-    raw = spark.read.option("header", "true").schema(_as_text(WINDOW_AGGREGATE)).csv(directory)
-    return typed_columns(raw, WINDOW_AGGREGATE)
+    files = spark.read.option("recursiveFileLookup", "true").text(directory).inputFiles()
+    if not any(".csv" in name.rsplit("/", 1)[-1] for name in files):
+        return spark.read.schema(WINDOW_AGGREGATE).option("recursiveFileLookup", "true").parquet(directory)
+    return read_csv(spark, directory, WINDOW_AGGREGATE)

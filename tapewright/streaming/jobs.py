@@ -17,6 +17,7 @@ from tapewright.operators.parse import (
     parse_trades,
 )
 from tapewright.operators.windows import window_aggregates
+from tapewright.streaming.monitor import progress_rows
 
 
 def message_records(messages: DataFrame) -> DataFrame:
@@ -77,4 +78,5 @@ def run_bounded(
 
 
 def rows_read(query: StreamingQuery) -> int:
-    return sum(progress.numInputRows for progress in query.recentProgress)
+    """Input rows of all batches of this run, however many progress updates Spark keeps."""
+    return sum(row[1] for row in progress_rows(query))

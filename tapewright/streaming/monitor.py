@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import logging
+import time
+from weakref import WeakSet
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -29,8 +31,53 @@ def progress_row(progress) -> tuple:
 
 
 def progress_table(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """One row per recent micro-batch; Spark keeps a bounded number of them."""
-    return spark.createDataFrame([progress_row(p) for p in query.recentProgress], PROGRESS_SCHEMA)
+    """One row per micro-batch of this run."""
+    return spark.createDataFrame(progress_rows(query), PROGRESS_SCHEMA)
+
+
+class _Batches(StreamingQueryListener):
+    """Keeps one row per run and batch, and which runs have ended."""
+
+    def __init__(self):
+        self.rows: dict[str, dict[int, tuple]] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event):
+        self.rows.setdefault(str(event.runId), {})
+
+    def onQueryProgress(self, event):
+        progress = event.progress
+        self.rows.setdefault(str(progress.runId), {})[progress.batchId] = progress_row(progress)
+
+    def onQueryIdle(self, event):
+        """Idle runs read nothing."""
+
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.runId))
+
+
+_BATCHES = _Batches()
+_WATCHED: WeakSet = WeakSet()
+
+
+def watch(spark: SparkSession) -> None:
+    """Have all batches of the session's later queries counted; sinks call it before they start."""
+    if spark not in _WATCHED:
+        spark.streams.addListener(_BATCHES)
+        _WATCHED.add(spark)
+
+
+def progress_rows(query: StreamingQuery, patience: float = 20.0) -> list[tuple]:
+    """A row per batch of this run: from the listener, and from what Spark keeps of the newest.
+
+    Listener events come a little later than the batches; after the end they are waited for.
+    """
+    run, until = str(query.runId), time.monotonic() + patience
+    while run in _BATCHES.rows and not query.isActive and run not in _BATCHES.ended and time.monotonic() < until:
+        time.sleep(0.05)
+    rows = dict(_BATCHES.rows.get(run, {}))
+    rows.update({p.batchId: progress_row(p) for p in query.recentProgress})
+    return [rows[k] for k in sorted(rows)]
 
 
 class ProgressLog(StreamingQueryListener):

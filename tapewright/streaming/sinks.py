@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tapewright.config import DEFAULTS, Settings
+from tapewright.streaming.monitor import watch
 
 TABLE_SINKS = ("parquet", "csv")
 SINKS = (*TABLE_SINKS, "console", "kafka")
@@ -13,6 +14,7 @@ SINKS = (*TABLE_SINKS, "console", "kafka")
 
 def paced(rows: DataFrame, settings: Settings, available_now: bool) -> DataStreamWriter:
     """Append-mode writer: a processing-time trigger, or one pass over what is there."""
+    watch(rows.sparkSession)
     writer = rows.writeStream.outputMode("append")
     if available_now:
         return writer.trigger(availableNow=True)

@@ -104,8 +104,25 @@ def test_salted_lookup_equals_broadcast(spark, trades, how):
     from tapewright.operators.joins import join_lookup
 
     names = spark.createDataFrame([("HOT", 1.5), ("A", 2.5), ("Z", 3.5)], "symbol string, w double")
-    salted = DEFAULTS.with_options(lookup_rows=0, salts=5)
+    salted = DEFAULTS.with_options(lookup_rows=0, salt_rows=7)
     made = join_lookup(trades, names, ["symbol"], salted, how)
     assert made.columns == trades.join(names, ["symbol"], how).columns
     assert same_rows(made, join_lookup(trades, names, ["symbol"], how=how))
     assert same_rows(made, trades.join(names, ["symbol"], how))
+
+
+def test_missing_symbols_are_kept_when_cut(spark):
+    """Missing symbols form a series like any other, hot or not."""
+    for share in (0.1, 0.7):
+        rng = random.Random(3)
+        rows = [trade(None if rng.random() < share else "HOT", i % 400, 1.0 + i, 2.0, float(i % 7)) for i in range(900)]
+        frame = trades_df(spark, rows)
+        slices = plan_slices(frame, CUT)
+        assert slices.hot_symbols
+        placed = with_position(frame, slices, total="n")
+        assert placed.count() == 900
+        by = {r["symbol"]: (r["n"], r["k"]) for r in placed.groupBy("symbol").agg(
+            F.max("n").alias("n"), F.countDistinct(POSITION).alias("k")).collect()}
+        counts = {r["symbol"]: r["count"] for r in frame.groupBy("symbol").count().collect()}
+        assert by == {s: (n, n) for s, n in counts.items()}
+        assert thin_series(frame, 50, CUT, slices).count() == thin_series(frame, 50, CUT, UNCUT).count()
