@@ -93,22 +93,24 @@ class ChunkEncoder:
         return out
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        wanted = set().union(*(words[1:] for words in split))
-        new = [w for w in wanted if w not in self.known]
+        cut = [t.partition(" ") for t in texts]
+        split = [rest.split(" ") if space else [] for _, space, rest in cut]
+        wanted = set().union(*split)
+        new = wanted.difference(self.known)
         if len(self.known) + len(new) > self.capacity:
             self.known.clear()
-            new = list(wanted)
-        self._learn(new)
-        heads = self._ids([words[0] for words in split])
-        known, out = self.known, []
-        for text, words, head in zip(texts, split, heads, strict=True):
-            parts = [known[w] for w in words[1:]]
-            if words[0] != words[0].strip() or not words[0] or None in parts:
-                cut = _CUT.split(text)
-                out.append(b"".join(self._ids([cut[0], *(" " + c for c in cut[1:])])))
-            else:
-                out.append(head + b"".join(parts))
+            new = wanted
+        self._learn(list(new))
+        heads = self._ids([head for head, _, _ in cut])
+        known, out = self.known.__getitem__, []
+        for text, words, (head, _, _), ids in zip(texts, split, cut, heads, strict=True):
+            try:
+                if not head or head != head.strip():
+                    raise TypeError
+                out.append(ids + b"".join(map(known, words)))
+            except TypeError:  # a word that touches other white space has no ids of its own
+                chunks = _CUT.split(text)
+                out.append(b"".join(self._ids([chunks[0], *(" " + c for c in chunks[1:])])))
         return out
 
 
