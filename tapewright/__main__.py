@@ -8,7 +8,7 @@ import logging
 
 from tapewright.config import Settings
 from tapewright.plans import jobs
-from tapewright.session import build_session
+from tapewright.session import build_session, for_streams
 from tapewright.sources.streams import DEFAULT_SERVERS, DEFAULT_TOPIC, line_stream, topic_stream
 from tapewright.streaming.jobs import keyed_message_records, run_bounded, windowed_records
 from tapewright.streaming.monitor import ProgressLog
@@ -48,6 +48,8 @@ def add_source(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--max_events", type=int, default=0, help="0: no limit")
     parser.add_argument("--log_every", type=int, default=1, help="log progress every n batches")
     add_settings(parser, "trigger_seconds")
+    parser.add_argument("--shuffle_partitions", type=int, help="state partitions; fixed by the first start")
+    parser.add_argument("--state_store", choices=["rocksdb", "memory"], default="rocksdb")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -152,6 +154,7 @@ def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"tapewright-{args.job}", args.master)
     if args.job in ("stream", "normalize"):
+        for_streams(spark, args.shuffle_partitions, args.state_store == "rocksdb")
         spark.streams.addListener(ProgressLog(args.log_every))
         run_stream(spark, args)
     else:

@@ -23,7 +23,7 @@ from tapewright.operators.parse import (
     parse_messages,
     parse_trades,
 )
-from tapewright.session import materialize, scratch_path
+from tapewright.session import for_streams, materialize, scratch_path
 from tapewright.sources.files import read_sink, read_stream_aggregates
 from tapewright.sources.generate import faulty_copies, synthesize
 from tapewright.sources.streams import table_stream
@@ -264,12 +264,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
     """A session of its own for streams: state partitions are fixed by the first start."""
     session = spark.newSession()
     session.conf.set("spark.sql.session.timeZone", "UTC")
-    session.conf.set(
-        "spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism)
-    )
-    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    session.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
-    return session
+    return for_streams(session, spark.sparkContext.defaultParallelism)
 
 
 def stream_event_trades(session: SparkSession, directory: str, schema, pattern=None) -> DataFrame:

@@ -27,6 +27,22 @@ def build_session(app_name: str = "tapewright", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+# Fixed value: Spark's state store that keeps state on disk, not in the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def for_streams(spark: SparkSession, partitions: int | None = None, on_disk: bool = True) -> SparkSession:
+    """Set what streams started from this session use: state partitions and the state store.
+
+    Both are fixed by a checkpoint's first start; later starts keep what the checkpoint says.
+    """
+    if partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    if on_disk:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
