@@ -37,6 +37,7 @@ def layout_of(args: argparse.Namespace) -> jobs.Layout:
     return jobs.Layout(**{n: getattr(args, f"{n}_dir") for n in names})
 
 
+# Option names here and below.
 def add_source(parser: argparse.ArgumentParser) -> None:
     parser.add_argument("--bootstrap_servers", default=DEFAULT_SERVERS)
     parser.add_argument("--topic", default=DEFAULT_TOPIC)

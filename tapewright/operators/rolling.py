@@ -12,6 +12,7 @@ from tapewright.operators.moments import with_rolling_moments
 from tapewright.operators.slicing import Slices, over_slices, plan_slices
 from tapewright.schemas import require_columns
 
+# Names of required columns and of features.
 ZSCORE_INPUT = ("symbol", "trade_time", "price", "quantity", "trade_value")
 FEATURE_INPUT = (*ZSCORE_INPUT, "trade_id")
 FEATURES = (

@@ -21,6 +21,7 @@ def window_metrics(trades: DataFrame, seconds: int) -> DataFrame:
     """
     price, value = F.col("price"), F.col("trade_value")
     grouped = trades.groupBy(F.window("trade_time", f"{seconds} seconds").alias("span"), "symbol")
+    # Names of the result columns.
     metrics = grouped.agg(
         F.avg(price).alias("avg_price"),
         F.min(price).alias("min_price"),
@@ -41,6 +42,7 @@ def window_metrics(trades: DataFrame, seconds: int) -> DataFrame:
 
 def window_rules(settings: Settings = DEFAULTS) -> list[tuple[str, Column]]:
     """Reason text and condition of each rule, in reporting order; thresholds are inclusive."""
+    # Reason texts.
     return [
         ("price_spread", F.col("price_spread_pct") >= settings.spread_threshold_pct),
         ("large_trade", F.col("max_trade_value") >= settings.large_trade_value),
