@@ -10,7 +10,7 @@ set gives signatures for its own band and the next. No similar pair is without a
 
 Empty choices would be shared by all sets. There are SPARE more parts than needed, so at least
 SPARE + 1 parts of a similar pair agree; empty choices count only in sets with more than SPARE parts
-that have one.
+that have one, or with a part that is empty altogether.
 
 What shares a signature is not paired off: equal sets are one class beforehand, and in a signature's
 group members are compared with one leader per round. Verified links make components; only groups
@@ -170,7 +170,7 @@ class Signer:
         name = mix(np.arange(parts * CHOICES, dtype=np.uint64), 1000 * band + self.seed + 5)
         found = mix(chosen.ravel() ^ name, 3)
         empty = filled == 0
-        if np.count_nonzero(empty.any(axis=1)) > SPARE:
+        if np.count_nonzero(empty.any(axis=1)) > SPARE or empty.all(axis=1).any():
             return found
         return found[~empty.ravel()]
 
