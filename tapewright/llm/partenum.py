@@ -130,7 +130,9 @@ class Signer:
     """Signatures of sets for one threshold and seed.
 
     The lowest bit of a signature tells that it is for the band above the set's own. Two sets of one
-    band meet under their own band's signatures, so groups need a member whose own band it is.
+    band meet under their own band's signatures, so groups need a member whose own band it is. The
+    next bit is part of the name and tells that the band's number of differences k is odd: similar
+    sets share at least three signatures, but only two where k is odd.
     """
 
     def __init__(self, percent: int, seed: int = 0):
@@ -146,12 +148,19 @@ class Signer:
         if not len(items):
             return np.zeros(0, np.uint64)
         own = self.band(len(items))
-        low = np.uint64(1)
-        return np.concatenate([self._instance(items, own) << low, (self._instance(items, own + 1) << low) | low])
+        return np.concatenate(
+            [
+                (self._instance(items, band) << np.uint64(2)) | np.uint64(2 * (self.differences(band) % 2) + (band > own))
+                for band in (own, own + 1)
+            ]
+        )
+
+    def differences(self, band: int) -> int:
+        """The most differences of two similar sets that meet in a band."""
+        return 2 * int(self.ends[band]) * (100 - self.percent) // (100 + self.percent)
 
     def _instance(self, items: np.ndarray, band: int) -> np.ndarray:
-        largest = int(self.ends[band])
-        k = 2 * largest * (100 - self.percent) // (100 + self.percent)
+        k = self.differences(band)
         if not k:  # such sets are similar only if they are equal
             return np.zeros(0, np.uint64)
         parts = k // 2 + 1 + SPARE
@@ -218,7 +227,7 @@ def signature_rows(docs: DataFrame, words: int, percent: int, seed: int = 0) ->
 def _shared_groups(signatures: DataFrame) -> DataFrame:
     """grp, doc_id, own: the members of all signatures that several documents share.
 
-    Groups without a member of the signature's own band are left out.
+    The lowest bit of grp tells that the band's number of differences is odd. Groups without a member of the signature's own band are left out.
     """
 
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,9 +252,10 @@ def _shared_groups(signatures: DataFrame) -> DataFrame:
             first_doc = np.concatenate([[doc[0] if doc_now is None else doc_now], doc[:-1]])
             first_own = np.concatenate([[own_now], own[:-1]])
             second, later = second & has_own, ~new & has_own
+            grp = (group << 1) | (name & 1)
             yield pa.record_batch(
                 {
-                    "grp": pa.array(np.concatenate([group[second], group[later]])),
+                    "grp": pa.array(np.concatenate([grp[second], grp[later]])),
                     "doc_id": pa.array(np.concatenate([first_doc[second], doc[later]])),
                     "own": pa.array(np.concatenate([first_own[second], own[later]])),
                 }
@@ -350,9 +360,13 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     pair, across components, where no leader rules it out: Jaccard distance is a metric, so documents
     whose distances from a leader differ by more than the limit are not similar; and two documents share
     no more than what neither lacks of the leader, and the smaller of what each has besides (profiles
-    of the second leader; the leader's own is unknown and rules nothing out). Similar sets share
-    at least three signatures (one of two agreeing parts has no difference and no empty choice but
-    one). So every similar pair is tested or connected.
+    of the second leader; the leader's own is unknown and rules nothing out).
+
+    Nor is a pair tested that shares too few signatures. A part without a difference gives three, with
+    one difference one, and empty choices are left out of one part at most. For even k the fewest are
+    three (no part without a difference: four with one, one of them left out; else more). For odd k
+    three parts with one difference each can be all that agree, which leaves two. A pair meets in one
+    band only, so all its groups tell the same of k. So every similar pair is tested or connected.
     """
     far = (100 - percent) / 100 + 1e-9
     nodes = degrees = None
@@ -392,7 +406,8 @@ def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> Dat
     for n in near:
         rule &= F.coalesce(n, F.lit(True))
     across = ends[0].join(ends[1], "grp").where(rule).groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
-    rest = across.count().where("count >= 3").select("a", "b")
+    odd = F.max(F.col("grp").bitwiseAND(F.lit(1)))
+    rest = across.agg((F.count("*") + odd).alias("n")).where("n >= 3").select("a", "b")
     rest = materialize(rest, "rest")
     tests.append(materialize(_compared(docs, rest, words, percent), "tests"))
     return _union(tests).where("linked").select("a", "b")

@@ -138,6 +138,51 @@ def test_similar_sets_share_three_signatures():
                 assert len({x >> 1 for x in a} & {x >> 1 for x in b}) >= 3
 
 
+def similar_pair(draw, both, one, two):
+    x = draw.integers(0, 2**63, both + one + two, dtype=np.uint64)
+    return np.unique(x[: both + one]), np.unique(np.concatenate([x[:both], x[both + one :]]))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_similar_sets_share_two_signatures_where_k_is_odd(percent):
+    """All differences that the threshold allows, in a band and across neighbouring bands."""
+    draw, signer, fewest = np.random.default_rng(4), partenum.Signer(percent), {}
+    for size in range(12, 51):
+        for one in range(size * (100 - percent) // 100 + 1):
+            for two in range(one + 1):
+                if not one or 100 * (size - one) < percent * (size + two):
+                    continue
+                for _ in range(20):
+                    sets = similar_pair(draw, size - one, one, two)
+                    band = max(signer.band(len(s)) for s in sets)
+                    odd = signer.differences(band) % 2
+                    own = [{x for x in signer.signatures(s).tolist()} for s in sets]
+                    shared = {x >> 1 for x in own[0]} & {x >> 1 for x in own[1]}
+                    shared = {x for x in shared if 2 * x in own[0] | own[1]}
+                    assert all(x & 1 == odd for x in shared)
+                    fewest[odd] = min(fewest.get(odd, 9), len(shared))
+    assert fewest[0] >= 3 and fewest[1] == 2
+
+
+def test_pair_with_two_shared_signatures_is_tested(spark):
+    """A similar pair that is never led in any round, and shares just two signatures (k is 3)."""
+    draw, signer = random.Random(8), partenum.Signer(80)
+    hashes = lambda text: next(partenum.shingle_sets(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), 1))
+    while True:
+        words = [f"w{draw.randrange(10**9)}" for _ in range(16)]
+        texts = [" ".join(words[:15]), " ".join(words[:13] + words[15:])]
+        one, two = ({x >> 1 for x in signer.signatures(hashes(t)).tolist() if not x & 1} for t in texts)
+        if len(one & two) == 2:
+            break
+    assert 100 * 13 >= 80 * 16 and all(x & 1 for x in one & two)
+    rows = [(1, texts[0]), (2, texts[1])]
+    rows += [(i, " ".join(f"d{i}x{j}" for j in range(15))) for i in range(3, 60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    members = [(g, i, True) for g in (1, 3) for i, _ in rows]
+    links = partenum._links(docs, spark.createDataFrame(members, "grp long, doc_id long, own boolean"), 1, 80)
+    assert {(r["a"], r["b"]) for r in links.collect()} == {(1, 2)}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(200).selectExpr("id + 1 AS a", "id AS b")
     got = {r["node"]: r["component"] for r in components.components(edges).collect()}
