@@ -352,6 +352,31 @@ def test_repeated_tokens_share_a_label():
     assert skipcrf.hidden(text, base[0] + added) == "write to <email> today; long after, <email> answered"
 
 
+def test_evidence_reaches_all_repetitions():
+    """One held span and 30 repetitions of its name: a path, whose probabilities are known."""
+    weights = skipcrf.Weights(np.zeros((skipcrf.FEATURES, 5)), np.zeros((5, 5)), 8.0 * np.eye(5))
+    text = "joe.77@mail.example.com" + " so joe.77" * 30
+    share = 0.2 + 0.8 * ((np.exp(8) - 1) / (np.exp(8) + 4)) ** np.arange(1, 31)
+    graph = graph_of([text])
+    names = [i for i, (a, b) in enumerate(graph.span) if text[a:b] == "joe.77"]
+    assert np.allclose(skipcrf.infer(graph, weights)[names, 1], share, atol=1e-4)
+    others = ["call joe.77 or ann@x.org", "9 " * 40 + text]
+    base = [skipcrf.base_spans(t) for t in (text, *others)]
+    added = skipcrf.added_spans([text, *others], base, weights, 0.97)
+    assert len(added[0]) == (share >= 0.97).sum() == 22
+    assert added[0] == skipcrf.added_spans([text], base[:1], weights, 0.97)[0]
+
+
+def test_swinging_messages_end():
+    draw = np.random.default_rng(2)
+    m = lambda: (lambda a: 6 * (a + a.T))(draw.normal(size=(5, 5)))
+    links = [(i, j) for i in range(6) for j in range(i)]
+    graph = skipcrf.Graph([0] * 6, [(i, i + 1) for i in range(6)], [0] * 6, [[i] for i in range(6)], links[::2], links[1::2])
+    for _ in range(5):
+        p = skipcrf.infer(graph, skipcrf.Weights(draw.normal(size=(skipcrf.FEATURES, 5)), m(), m()), rounds=20)
+        assert np.isfinite(p).all() and np.allclose(p.sum(axis=1), 1)
+
+
 def test_personal_data_rows(spark):
     rows = [(i, t, "x") for i, t in enumerate([None, "", "mail a.b@c.de now", "ip 10.2.3.4 and 10.2.3.4", "no data", "no data", "é 4111 1111 1111 1111"])]
     docs = spark.createDataFrame([*rows, (None, "x@y.zz", "x")], "doc_id long, text string, spans string")
