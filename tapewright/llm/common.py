@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tapewright.session import materialize
 
-__all__ = ["anti_join", "column", "in_batches", "letters", "materialize", "ship", "sub_batches", "table", "utf8", "worker"]
+__all__ = ["anti_join", "column", "exact", "in_batches", "letters", "materialize", "ship", "sub_batches", "table", "utf8", "worker"]
 
 
 def ship(module: str) -> None:
@@ -40,6 +40,13 @@ def column(df: DataFrame, name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def exact(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of exactly these names, by position: others may differ by case only, or repeat."""
+    at = {c: i for i, c in reversed(list(enumerate(df.columns)))}
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return plain.select(*[F.col(f"_{at[n]}").alias(n) for n in names])
+
+
 def in_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:

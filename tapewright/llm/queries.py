@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import ann, bpecount, decontam, idcodec, mincut, packing, partenum, ppm, ring, skipcrf
+from tapewright.llm import ann, bpecount, decontam, idcodec, merkle, mincut, packing, partenum, ppm, ring, skipcrf
 from tapewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +107,74 @@ def op2_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents through range-coded files."""
     path = public_tokenizers.path("byte_bpe_50k.json")
     return idcodec.round_trip(table(spark, sf_dir, "documents"), path, keep_ids=False)
+
+
+@query
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle proofs of all documents; every seventh by checksum is verified with one more character."""
+    digits = F.col("doc_id").cast("string").cast("binary")
+    tampered = F.coalesce(F.crc32(digits) % 7 == 0, F.lit(False))
+    more = F.when(tampered, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    changed = [F.col("doc_id"), F.col("source"), F.col("lang"), more, F.col("text")]
+    return merkle.manifest(table(spark, sf_dir, "documents"), changed=changed, keep_proof=False)
+
+
+#: One bit of a CRC-32 (reflected, polynomial 0xEDB88320), and the CRC-32 of a decimal number.
+_BIT = "list_reduce([{0}] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0], lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))"
+_CRC = f"""xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT),
+  lambda s, b: {_BIT.format("xor(s, b)")}), 4294967295)"""
+
+
+def _sized(*fields: str) -> str:
+    return " || ".join(f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields)
+
+
+ORACLE["op13_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS tree,
+         sha256({_sized("doc_id", "source", "lang", "n_chars", "text")}) AS leaf,
+         sha256({_sized("doc_id", "source", "lang", f"(n_chars + CASE WHEN ({_CRC}) % 7 = 0 THEN 1 ELSE 0 END)", "text")}) AS seen
+  FROM documents
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves
+), nodes AS (
+  SELECT 0 AS level, tree, i, leaf AS hash, count(*) OVER (PARTITION BY tree) AS n FROM ranked
+  UNION ALL
+  SELECT * FROM (
+    SELECT level + 1, tree, i // 2, sha256(string_agg(hash, '' ORDER BY i)), (any_value(n) + 1) // 2
+    FROM nodes WHERE n > 1 GROUP BY level, tree, i // 2
+  )
+), subroots AS (
+  SELECT tree, hash AS subroot, row_number() OVER (ORDER BY tree) - 1 AS i FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS level, i, subroot AS hash, count(*) OVER () AS n FROM subroots
+  UNION ALL
+  SELECT * FROM (
+    SELECT level + 1, i // 2, sha256(string_agg(hash, '' ORDER BY i)), (any_value(n) + 1) // 2
+    FROM tops WHERE n > 1 GROUP BY level, i // 2
+  )
+), every AS (
+  SELECT level, tree, i, hash, n FROM nodes
+  UNION ALL
+  SELECT level, '', i, hash, n FROM tops
+), way AS (
+  SELECT r.doc_id, r.tree AS doc_tree, r.i AS doc_i, 0 AS step, r.tree, 0 AS level, r.i, r.seen AS now, s.i AS top_i
+  FROM ranked r JOIN subroots s USING (tree)
+  UNION ALL
+  SELECT doc_id, doc_tree, doc_i, step + 1, CASE WHEN up THEN w.tree ELSE '' END, CASE WHEN up THEN w.level + 1 ELSE 0 END,
+         CASE WHEN up THEN w.i // 2 ELSE top_i END,
+         CASE WHEN NOT up THEN now WHEN o.hash IS NULL THEN sha256(now) WHEN w.i % 2 = 1 THEN sha256(o.hash || now)
+              ELSE sha256(now || o.hash) END, top_i
+  FROM (SELECT w.*, e.n > 1 AS up FROM way w JOIN every e ON w.tree = e.tree AND w.level = e.level AND w.i = e.i) w
+  LEFT JOIN every o ON w.tree = o.tree AND w.level = o.level AND xor(w.i, 1) = o.i
+  WHERE up OR w.tree <> ''
+), proofs AS (
+  SELECT doc_tree, doc_i, sha256(coalesce(string_agg(o.hash, '' ORDER BY step), '')) AS proof_sha256,
+         arg_max(now, step) AS folded_root
+  FROM way w LEFT JOIN every o ON w.tree = o.tree AND w.level = o.level AND xor(w.i, 1) = o.i
+  GROUP BY doc_tree, doc_i
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+FROM ranked JOIN subroots USING (tree) JOIN proofs ON doc_tree = ranked.tree AND doc_i = ranked.i
+CROSS JOIN (SELECT hash AS root FROM tops WHERE n = 1)
+"""
