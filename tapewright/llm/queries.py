@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import ann, bpecount, decontam, idcodec, merkle, mincut, packing, partenum, ppm, ring, skipcrf
+from tapewright.llm import ann, bpecount, decontam, idcodec, merkle, mincut, packing, partenum, ppm, ring, skipcrf, warc
 from tapewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -178,3 +178,23 @@ SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = roo
 FROM ranked JOIN subroots USING (tree) JOIN proofs ON doc_tree = ranked.tree AND doc_i = ranked.i
 CROSS JOIN (SELECT hash AS root FROM tops WHERE n = 1)
 """
+
+
+@query
+def op11_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through WARC archives: one stream per file, then one member per record."""
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op11_archives"] = """
+WITH payloads AS (
+  SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS bytes FROM pages
+), kept AS (
+  SELECT *, CASE WHEN bytes >= 1000 THEN max(page_id) OVER (PARTITION BY body) END AS response FROM payloads
+)
+SELECT page_id, bytes AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN response <> page_id OR (page_id IS NULL AND response IS NOT NULL) THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN response <> page_id OR (page_id IS NULL AND response IS NOT NULL) THEN response END AS refers_to
+FROM kept
+"""
