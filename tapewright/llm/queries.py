@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tapewright.llm import ann, bpecount, decontam, idcodec, merkle, mincut, packing, partenum, ppm, ring, skipcrf, warc
+from tapewright.llm import ann, bpecount, decontam, idcodec, kmeans, merkle, mincut, packing, partenum, ppm, ring, skipcrf, warc
 from tapewright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,3 +198,41 @@ SELECT page_id, bytes AS payload_bytes, sha1(body) AS payload_digest,
        CASE WHEN response <> page_id OR (page_id IS NULL AND response IS NOT NULL) THEN response END AS refers_to
 FROM kept
 """
+
+
+@query
+def op12_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings in 40 clusters after five rounds, in whole numbers."""
+    return kmeans.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def _kmeans_sql(k: int = 40, rounds: int = 5) -> str:
+    """The rounds one after the other, each a full scan."""
+    steps = [f"""WITH kept AS (
+  SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding::DOUBLE[], lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS cluster, v AS c FROM kept
+  ORDER BY sha256('2:' || vec_id), v LIMIT {k}
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""d{i} AS (
+  SELECT vec_id, v, cluster, list_sum(list_transform(list_zip(v, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS distance
+  FROM kept CROSS JOIN c{i}
+), a{i} AS (
+  SELECT vec_id, v, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance FROM d{i} GROUP BY vec_id, v
+)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (
+  SELECT cluster, dim, sum(x)::BIGINT AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS dim FROM a{i}) GROUP BY cluster, dim
+), m{i} AS (
+  SELECT cluster, list((s - ((s % n + n) % n)) // n ORDER BY dim) AS c FROM s{i} GROUP BY cluster
+), c{i + 1} AS (SELECT cluster, coalesce(m{i}.c, c{i}.c) AS c FROM c{i} LEFT JOIN m{i} USING (cluster))""")
+    return ", ".join(steps) + f"""
+SELECT vec_id, cluster::INTEGER AS cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)"""
+
+
+ORACLE["op12_clusters"] = _kmeans_sql()
