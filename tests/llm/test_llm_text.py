@@ -155,6 +155,25 @@ def test_segment_round_trip():
     assert idcodec.read_segment(idcodec.write_segment([], [], 300)) == ([], [])
 
 
+@pytest.mark.parametrize("after", [0, 50, 700])
+@pytest.mark.parametrize("repeats", [3, 50, 400])
+def test_blocks_that_deviate_after_repeats_come_back(repeats, after):
+    rng = np.random.default_rng(repeats + after)
+    blocks = []
+    for _ in range(8):
+        lead = rng.integers(100, 400, 500).tolist()
+        blocks.append(lead + [10, 20, 10, 30] * repeats + [10, 30] + rng.integers(0, 50_000, after).tolist())
+        phrase = rng.integers(0, 300, 6).tolist()
+        mixed: list[int] = []
+        for turn in range(repeats):
+            mixed += phrase + [phrase[turn % 6]] * (turn % 7 == 6)
+        blocks.append(mixed + phrase[::-1])
+    ids = [np.array(b, "<u4").tobytes() for b in blocks]
+    for block in (1 << 14, 333):
+        _, got = idcodec.read_segment(idcodec.write_segment(list(range(len(ids))), ids, 50_000, block))
+        assert [g.tobytes() for g in got] == ids
+
+
 def test_predictable_ids_take_little_room():
     pattern = np.tile(np.arange(50, dtype="<u4"), 200)
     assert len(idcodec.write_segment([1], [pattern.tobytes()], 50_000)) < 0.2 * pattern.nbytes
