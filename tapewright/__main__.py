@@ -106,7 +106,7 @@ def run_stream(spark, args) -> None:
         )
     now = args.available_now
     if args.job == "stream":
-        rows = windowed_records(source, settings, args.drop_repeats)
+        rows = windowed_records(source, settings, args.drop_repeats, observe=True)
         if args.sink == "console":
             query = start_console_sink(rows, settings, now)
         else:

@@ -11,6 +11,7 @@ class Settings:
     window_seconds: int = 60
     watermark_seconds: int = 120
     trigger_seconds: int = 5
+    repeat_seconds: int = 3_600
     spread_threshold_pct: float = 1.0
     large_trade_value: float = 100_000.0
     high_trade_count: int = 500

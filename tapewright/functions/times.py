@@ -50,6 +50,11 @@ def as_instant(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: utc_instant(F.col(c)) for c in columns if is_wall_clock(df, c)})
 
 
+def utc_day(df: DataFrame, column: str) -> Column:
+    """The date, in UTC, of a time of either type."""
+    return F.date_from_unix_date(F.floor(utc_micros(df, column) / 86_400_000_000).cast("int"))
+
+
 def hour_of_day(df: DataFrame, column: str) -> Column:
     value = F.col(column)
     return F.hour(value if is_wall_clock(df, column) else utc_wall_clock(value))

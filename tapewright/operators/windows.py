@@ -31,15 +31,23 @@ def window_metrics(trades: DataFrame, seconds: int) -> DataFrame:
         F.max(value).alias("max_trade_value"),
         F.count("*").alias("trade_count"),
     )
-    spread = ratio(F.col("max_price") - F.col("min_price"), F.col("avg_price")) * 100
     return metrics.select(
-        F.col("span.start").alias("window_start"),
-        F.col("span.end").alias("window_end"),
-        "*",
-        F.when(F.col("avg_price") > 0, spread).otherwise(0.0).alias("price_spread_pct"),
+        F.col("span.start").alias("window_start"), F.col("span.end").alias("window_end"), "*", spread_pct()
     ).drop("span")
 
 
+def spread_pct() -> Column:
+    """Price range of a window in percent of its mean; 0 without a positive mean."""
+    spread = ratio(F.col("max_price") - F.col("min_price"), F.col("avg_price")) * 100
+    return F.when(F.col("avg_price") > 0, spread).otherwise(0.0).alias("price_spread_pct")
+
+
+def window_end_micros(micros: Column, seconds: int) -> Column:
+    """The end of the window that holds an instant, both in microseconds since the epoch."""
+    length = seconds * 1_000_000
+    return (F.floor(micros / length) + 1) * length
+
+
 def window_rules(settings: Settings = DEFAULTS) -> list[tuple[str, Column]]:
     """Reason text and condition of each rule, in reporting order; thresholds are inclusive."""
     # Reason texts.

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tapewright.functions.times import utc_day
 from tapewright.functions.values import truthy_text
 from tapewright.operators.parse import parse_trades
 from tapewright.schemas import WINDOW_AGGREGATE
@@ -152,3 +153,31 @@ def read_sink(spark: SparkSession, directory: str) -> DataFrame:
     if not any(".csv" in name.rsplit("/", 1)[-1] for name in files):
         return spark.read.schema(WINDOW_AGGREGATE).option("recursiveFileLookup", "true").parquet(directory)
     return read_csv(spark, directory, WINDOW_AGGREGATE)
+
+
+#: The folder column of window rows that are kept by date.
+DAY = "window_date"
+
+
+def with_day(windows: DataFrame) -> DataFrame:
+    """Window rows with the date (UTC) that they start on."""
+    return windows.withColumn(DAY, utc_day(windows, "window_start"))
+
+
+def read_days(spark: SparkSession, directory: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Window rows of a sink kept by date, of windows that start in [start, end) (UTC times as text).
+
+    The times are turned into dates, by which folders are skipped before any file is listed for
+    reading; which files count is told by the sink's commit log.
+    """
+    kept = T.StructType([*WINDOW_AGGREGATE.fields, T.StructField(DAY, T.DateType(), True)])
+    rows = spark.read.schema(kept).parquet(directory)
+    instant = lambda text: F.lit(f"{text}Z" if "T" in text or ":" in text else f"{text} 00:00:00Z").cast("timestamp")
+    day = lambda text: F.lit(text[:10]).cast("date")
+    if start:
+        rows = rows.where((F.col(DAY) >= day(start)) & (F.col("window_start") >= instant(start)))
+    if end:
+        rows = rows.where((F.col(DAY) <= day(end)) & (F.col("window_start") < instant(end)))
+        if end[10:].strip("T 0:.") == "":  # midnight: nothing of that day
+            rows = rows.where(F.col(DAY) < day(end))
+    return rows.drop(DAY)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tapewright.config import DEFAULTS, Settings
-from tapewright.operators.clean import clean_trades_stream
+from tapewright.operators.clean import clean_trades_stream, observed_cleaning
 from tapewright.operators.parse import (
     keyed_records,
     normalize_messages,
@@ -35,12 +35,15 @@ def with_event_time(trades: DataFrame, settings: Settings = DEFAULTS) -> DataFra
 
 
 def windowed_trades(
-    trades: DataFrame, settings: Settings = DEFAULTS, drop_repeats: bool = False
+    trades: DataFrame, settings: Settings = DEFAULTS, drop_repeats: bool = False,
+    observe: bool = False,
 ) -> DataFrame:
     """Typed trades to flagged windows, each emitted once after the watermark passes its end.
 
-    ``drop_repeats`` also removes repeated ids within the watermark delay.
+    ``drop_repeats`` also removes repeated ids within the watermark delay; ``observe`` counts what
+    the cleaning rules drop (``monitor.cleaning_progress`` tells).
     """
+    trades = observed_cleaning(trades, settings) if observe else trades
     timed = with_event_time(clean_trades_stream(trades, settings), settings)
     if drop_repeats:
         timed = timed.dropDuplicatesWithinWatermark(["symbol", "trade_id"])
@@ -48,10 +51,11 @@ def windowed_trades(
 
 
 def windowed_records(
-    records: DataFrame, settings: Settings = DEFAULTS, drop_repeats: bool = False
+    records: DataFrame, settings: Settings = DEFAULTS, drop_repeats: bool = False,
+    observe: bool = False,
 ) -> DataFrame:
     """As ``windowed_trades``, from compact JSON records in ``value``."""
-    return windowed_trades(parse_trades(records), settings, drop_repeats)
+    return windowed_trades(parse_trades(records), settings, drop_repeats, observe)
 
 
 def run_bounded(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -23,12 +25,16 @@ def paced(rows: DataFrame, settings: Settings, available_now: bool) -> DataStrea
 
 def start_table_sink(
     rows: DataFrame, path: str, checkpoint: str, sink: str = "parquet",
-    settings: Settings = DEFAULTS, available_now: bool = False,
+    settings: Settings = DEFAULTS, available_now: bool = False, partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
-    """Append to a directory; the checkpoint makes a restart go on without repeats."""
+    """Append to a directory; the checkpoint makes a restart go on without repeats.
+
+    With ``partition_by``, each value of these columns has a folder of its own, which readers skip
+    if they do not want it; the sink's commit log still tells which files count.
+    """
     if sink not in TABLE_SINKS:
         raise ValueError(f"Not a table sink: {sink}")
-    writer = paced(rows, settings, available_now).format(sink)
+    writer = paced(rows, settings, available_now).format(sink).partitionBy(*partition_by)
     if sink == "csv":
         writer = writer.option("header", "true")
     return writer.option("checkpointLocation", checkpoint).start(path)
