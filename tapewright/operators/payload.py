@@ -1,4 +1,8 @@
-"""The dashboard document: one JSON row made of bounded datasets."""
+"""The dashboard document: one JSON row for small tables, sorted fragments for any.
+
+``stream_parts`` and ``batch_parts`` tell what the document holds; ``stream_payload`` and
+``batch_payload`` give it as one row, ``fragments.write_document`` as a file.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,8 @@ from pyspark.sql import functions as F
 from tapewright.config import DEFAULTS, Settings
 from tapewright.functions.times import iso_text, utc_micros
 from tapewright.operators import reports
+from tapewright.operators.fragments import Part
+
 
 def in_time(df: DataFrame, column: str) -> Column:
     """Ascending sort key of a time; missing times come last."""
@@ -40,47 +46,64 @@ def document(summary: DataFrame, parts: dict[str, Column], pretty: bool) -> Data
     return timed.select(F.to_json(whole, options).alias("payload"))
 
 
-def forest_list(forest_scored: DataFrame, settings: Settings) -> Column:
+def summary_row(summary: DataFrame) -> dict:
+    """The one-row ``summary`` as the document shows it."""
+    timed = summary.withColumns({c: iso_text(summary, c) for c in ("time_start", "time_end")})
+    return timed.first().asDict()
+
+
+def forest_part(forest_scored: DataFrame, settings: Settings) -> Part:
     rows = reports.iforest_history(forest_scored, settings)
-    keys = [-F.col("ml_anomaly_score"), in_time(rows, "detected_at"), F.col("symbol")]
-    return listed(rows, keys, "detected_at")
+    return Part(rows, [-F.col("ml_anomaly_score"), in_time(rows, "detected_at"), F.col("symbol")], "detected_at")
 
 
-def zscore_list(zscored: DataFrame, settings: Settings) -> Column:
+def zscore_part(zscored: DataFrame, settings: Settings) -> Part:
     rows = reports.zscore_anomaly_history(zscored, settings)
-    keys = [-reports.zscore_size(), in_time(rows, "detected_at"), F.col("symbol")]
-    return listed(rows, keys, "detected_at")
+    return Part(rows, [-reports.zscore_size(), in_time(rows, "detected_at"), F.col("symbol")], "detected_at")
 
 
-def stream_payload(
-    windows: DataFrame, forest_scored: DataFrame, settings: Settings = DEFAULTS,
-    pretty: bool = True,
-) -> DataFrame:
-    """Document over window rows, with the price of every window."""
+def stream_parts(
+    windows: DataFrame, forest_scored: DataFrame, settings: Settings = DEFAULTS
+) -> tuple[DataFrame, dict[str, Part]]:
+    """Summary and lists over window rows, with the price of every window."""
     series = reports.stream_price_series(windows, settings=settings)
-    totals = reports.stream_symbol_aggregates(windows)
     newest = reports.stream_anomaly_history(windows, settings)
     parts = {
-        "price_series": listed(series, [in_time(series, "time"), F.col("symbol")], "time"),
-        "aggregates": listed(totals, [F.col("symbol")]),
-        "anomalies": listed(
-            newest, [-in_time(newest, "detected_at"), F.col("symbol")], "detected_at"
-        ),
-        "ml_anomalies": forest_list(forest_scored, settings),
+        "price_series": Part(series, [in_time(series, "time"), F.col("symbol")], "time"),
+        "aggregates": Part(reports.stream_symbol_aggregates(windows), [F.col("symbol")]),
+        "anomalies": Part(newest, [-in_time(newest, "detected_at"), F.col("symbol")], "detected_at"),
+        "ml_anomalies": forest_part(forest_scored, settings),
+    }
+    return reports.stream_summary(windows, forest_scored), parts
+
+
+def batch_parts(
+    trades: DataFrame, zscored: DataFrame, forest_scored: DataFrame, settings: Settings = DEFAULTS
+) -> tuple[DataFrame, dict[str, Part]]:
+    series = reports.price_series_sampled(trades, settings.payload_series_points, settings)
+    parts = {
+        "price_series": Part(series, [F.col("symbol"), in_time(series, "time")], "time"),
+        "aggregates": Part(reports.batch_symbol_aggregates(trades), [F.col("symbol")]),
+        "anomalies": zscore_part(zscored, settings),
+        "ml_anomalies": forest_part(forest_scored, settings),
     }
-    return document(reports.stream_summary(windows, forest_scored), parts, pretty)
+    return reports.batch_summary(trades, zscored, forest_scored), parts
+
+
+def one_row(summary: DataFrame, parts: dict[str, Part], pretty: bool = True) -> DataFrame:
+    return document(summary, {n: listed(p.rows, p.keys, p.time) for n, p in parts.items()}, pretty)
+
+
+def stream_payload(
+    windows: DataFrame, forest_scored: DataFrame, settings: Settings = DEFAULTS,
+    pretty: bool = True,
+) -> DataFrame:
+    """Document over window rows as one row; all of it passes through one task."""
+    return one_row(*stream_parts(windows, forest_scored, settings), pretty)
 
 
 def batch_payload(
     trades: DataFrame, zscored: DataFrame, forest_scored: DataFrame,
     settings: Settings = DEFAULTS, pretty: bool = True,
 ) -> DataFrame:
-    series = reports.price_series_sampled(trades, settings.payload_series_points, settings)
-    totals = reports.batch_symbol_aggregates(trades)
-    parts = {
-        "price_series": listed(series, [F.col("symbol"), in_time(series, "time")], "time"),
-        "aggregates": listed(totals, [F.col("symbol")]),
-        "anomalies": zscore_list(zscored, settings),
-        "ml_anomalies": forest_list(forest_scored, settings),
-    }
-    return document(reports.batch_summary(trades, zscored, forest_scored), parts, pretty)
+    return one_row(*batch_parts(trades, zscored, forest_scored, settings), pretty)

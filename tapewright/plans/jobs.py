@@ -13,8 +13,10 @@ from tapewright.operators import reports
 from tapewright.operators.clean import clean_trades, cleaning_report, in_time_order, symbol_filter
 from tapewright.operators.forest import iforest_scores
 from tapewright.operators.parse import compact_json
-from tapewright.operators.payload import batch_payload, stream_payload
+from tapewright.operators.fragments import Part, write_document
+from tapewright.operators.payload import batch_parts, one_row, stream_parts, summary_row
 from tapewright.operators.rolling import rolling_zscore
+from tapewright.session import scratch_path
 from tapewright.schemas import FOREST_SCORED_TRADE, TRADE, WINDOW_AGGREGATE, ZSCORED_TRADE
 from tapewright.sources.files import (
     read_optional,
@@ -25,6 +27,7 @@ from tapewright.sources.files import (
     latest_input,
 )
 from tapewright.sources.generate import as_compact, synthetic_trades, with_bad_records
+from tapewright.sources.storage import write_snapshot
 from tapewright.streaming.sinks import write_lines, write_table
 
 # Names of the produced tables, and the patterns that find them again.
@@ -97,7 +100,7 @@ def zscore_job(
     cleaned: str | None = None, form: str = "parquet",
 ) -> str:
     scored = rolling_zscore(_cleaned(spark, layout, cleaned), settings)
-    return write_table(scored.select(*ZSCORED_TRADE.fieldNames()), layout.zscores, form)
+    return write_snapshot(scored.select(*ZSCORED_TRADE.fieldNames()), layout.zscores, form)
 
 
 def forest_job(
@@ -105,7 +108,7 @@ def forest_job(
     cleaned: str | None = None, form: str = "parquet",
 ) -> str:
     scored = iforest_scores(_cleaned(spark, layout, cleaned), settings)
-    return write_table(scored.select(*FOREST_SCORED_TRADE.fieldNames()), layout.forest, form)
+    return write_snapshot(scored.select(*FOREST_SCORED_TRADE.fieldNames()), layout.forest, form)
 
 
 def offline_pipeline(
@@ -166,27 +169,36 @@ def stream_report(
     return _write_all(datasets, layout.charts, form)
 
 
-def payload_document(
-    spark: SparkSession, layout: Layout = Layout(), settings: Settings = DEFAULTS,
-    pretty: bool = True,
-) -> DataFrame:
-    """The document from window rows if there are any, else from the batch tables."""
+def payload_parts(
+    spark: SparkSession, layout: Layout = Layout(), settings: Settings = DEFAULTS
+) -> tuple[DataFrame, dict[str, Part]]:
+    """What the document holds: from window rows if there are any, else from the batch tables."""
     forest = read_optional(spark, layout.forest, FOREST_SCORED_TRADE)
     try:
         windows = read_stream_aggregates(spark, layout.windows)
     except FileNotFoundError:
         windows = spark.createDataFrame([], WINDOW_AGGREGATE)
     if not windows.isEmpty():
-        return stream_payload(windows, forest, settings, pretty)
+        return stream_parts(windows, forest, settings)
     newest = latest_input(spark, layout.cleaned, CLEANED_PATTERN)
     trades = read_optional(spark, newest, TRADE)
     zscores = read_optional(spark, layout.zscores, ZSCORED_TRADE)
-    return batch_payload(trades, zscores, forest, settings, pretty)
+    return batch_parts(trades, zscores, forest, settings)
+
+
+def payload_document(
+    spark: SparkSession, layout: Layout = Layout(), settings: Settings = DEFAULTS,
+    pretty: bool = True,
+) -> DataFrame:
+    """The document as one row."""
+    return one_row(*payload_parts(spark, layout, settings), pretty)
 
 
 def payload_job(
     spark: SparkSession, layout: Layout = Layout(), settings: Settings = DEFAULTS
 ) -> str:
-    document = payload_document(spark, layout, settings)
+    """Write the document as the one file that a page fetches; it is replaced once it is whole."""
+    summary, parts = payload_parts(spark, layout, settings)
     path = f"{layout.dashboard}/{PAYLOAD_NAME}.json"
-    return write_lines(document, path, "payload", mode="overwrite")
+    write_document(spark, summary_row(summary), parts, scratch_path(spark, "document"), path)
+    return path

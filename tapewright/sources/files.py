@@ -14,6 +14,7 @@ from tapewright.functions.times import utc_day
 from tapewright.functions.values import truthy_text
 from tapewright.operators.parse import parse_trades
 from tapewright.schemas import WINDOW_AGGREGATE
+from tapewright.sources.storage import current
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -111,7 +112,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet or CSV table with ``schema``, told apart by the file names inside ``path``."""
+    """Parquet or CSV table with ``schema``, told apart by the file names inside ``path``.
+
+    Of a table that is replaced by snapshots the current one is read.
+    """
+    path = current(spark, path)
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
         .select("path").filter(F.lower("path").contains(".csv")).limit(1)
