@@ -23,6 +23,8 @@ class Settings:
     contamination: float = 0.02
     forest_seed: int = 42
     forest_min_rows: int = 20
+    #: 0: exact thresholds; else the rank error that a sketch of the scores may have.
+    threshold_rank_error: float = 0.0
     forest_trees: int = 100
     forest_tree_rows: int = 256
     history_rows: int = 50

@@ -7,8 +7,11 @@ row and the seed, and each tree draws from a generator seeded by (seed, symbol,
 
 from __future__ import annotations
 
+import dataclasses
+import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -21,10 +24,11 @@ from tapewright.config import DEFAULTS, Settings
 from tapewright.functions import trees as tree_functions
 from tapewright.functions.trees import anomaly, fit_tree, stacked, tree_depth
 from tapewright.operators.joins import join_lookup
-from tapewright.operators.quantiles import exact_quantiles
+from tapewright.operators.quantiles import exact_quantiles, quantile_sketches, sketched_quantiles
 from tapewright.operators.rolling import FEATURES, feature_moments, ml_features, scaled_features
 from tapewright.operators.slicing import Slices
 from tapewright.session import materialize
+from tapewright.sources.storage import current, publish
 
 # Python workers get the tree functions with the job, whether or not the package is installed there.
 cloudpickle.register_pickle_by_value(tree_functions)
@@ -36,18 +40,18 @@ TREE_SCHEMA = (
     "symbol string, tree int, rows int, feature array<int>, threshold array<float>, "
     "path array<float>"
 )
-_CHUNK = "__chunk"
+_CHUNK, _OFFSET = "__chunk", "__offset"
 _RAW = "__raw_"
 # What random draws are made from: given columns, as derived ones may differ in the last digit.
 ROW_KEY = ("trade_id", "trade_time", f"{_RAW}price", f"{_RAW}quantity")
 
 
 def with_scaled_features(
-    features: DataFrame, moments: DataFrame, settings: Settings = DEFAULTS
+    features: DataFrame, moments: DataFrame, settings: Settings = DEFAULTS, how: str = "inner"
 ) -> DataFrame:
     """Feature columns standardised per symbol; the given values stay under prefixed names."""
     given = features.withColumns({_RAW + c: F.col(c) for c in FEATURES})
-    return scaled_features(given, settings, moments)
+    return scaled_features(given, settings, moments, how)
 
 
 def symbol_sizes(moments: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
@@ -207,34 +211,95 @@ def _score_cogrouped(
     )
 
 
-def iforest_scores(
-    trades: DataFrame, settings: Settings = DEFAULTS, slices: Slices | None = None
-) -> DataFrame:
-    """Trades with features, anomaly score, flag and model tag.
+@dataclass(frozen=True)
+class ForestModel:
+    """What scoring needs, as written tables with a few rows per symbol.
 
-    The score is the anomaly measure minus the symbol's contamination threshold; positive means
-    flagged. Symbols below ``forest_min_rows`` get score 0, no flag and no model. Features, moments,
-    trees and raw scores feed several consumers each, so they are written once to the shared folder.
+    moments: row count, means and deviations of the features; trees; thresholds: symbol and the
+    measure above which a trade is flagged, negated.
     """
-    features = materialize(ml_features(trades, settings, slices), "forest-features")
+
+    moments: DataFrame
+    trees: DataFrame
+    thresholds: DataFrame
+
+
+def score_thresholds(scored: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+    """symbol, offset: what is added to ``raw_score`` so that the wanted share is positive.
+
+    Exact, or within ``threshold_rank_error`` of all ranks from mergeable sketches: one pass, in
+    which a symbol is a small row per task.
+    """
+    # The flagged share is the lower tail of the negated measure.
+    negated = scored.select("symbol", (-F.col("raw_score")).alias("negated"))
+    share, error = [settings.contamination], settings.threshold_rank_error
+    if error:
+        found = sketched_quantiles(quantile_sketches(negated, ["symbol"], "negated", error), ["symbol"], share)
+    else:
+        found = exact_quantiles(negated, ["symbol"], "negated", share, settings)
+    return found.select("symbol", F.col("quantiles")[0].alias(_OFFSET))
+
+
+def _fit(features: DataFrame, settings: Settings) -> tuple[ForestModel, DataFrame]:
+    """The model of written ``features``, and their raw scores."""
     moments = materialize(feature_moments(features), "forest-moments")
     sizes = symbol_sizes(moments, settings)
     scaled = with_scaled_features(features, moments, settings)
-    forest = materialize(fit_forest(scaled, sizes, settings), "forest-trees")
-    scored = materialize(score_rows(scaled, forest, sizes, settings), "forest-raw")
-    # The flagged share is the lower tail of the negated measure.
-    tail = exact_quantiles(
-        scored.select("symbol", (-F.col("raw_score")).alias("negated")),
-        ["symbol"], "negated", [settings.contamination], settings,
-    ).select("symbol", F.col("quantiles")[0].alias("__offset"))
+    trees = materialize(fit_forest(scaled, sizes, settings), "forest-trees")
+    scored = materialize(score_rows(scaled, trees, sizes, settings), "forest-raw")
+    return ForestModel(moments, trees, score_thresholds(scored, settings)), scored
+
+
+def _judged(scored: DataFrame, thresholds: DataFrame, columns: list[str], settings: Settings, written: bool) -> DataFrame:
+    """The given columns with score, flag and tag, from raw scores and thresholds."""
     modelled = F.col("raw_score").isNotNull()
-    score = F.when(modelled, F.col("raw_score") + F.col("__offset")).otherwise(0.0)
-    return join_lookup(scored, tail, ["symbol"], settings, "left").select(
-        *[
-            F.col(_RAW + c).alias(c) if c in FEATURES else F.col(c)
-            for c in features.columns
-        ],
+    score = F.when(modelled, F.col("raw_score") + F.col(_OFFSET)).otherwise(0.0)
+    return join_lookup(scored, thresholds, ["symbol"], settings, "left", written=written).select(
+        *[F.col(_RAW + c).alias(c) if c in FEATURES else F.col(c) for c in columns],
         score.alias("ml_anomaly_score"),
         (modelled & (score > 0)).alias("is_ml_anomaly"),
         F.when(modelled, MODEL_NAME).alias("ml_model"),
     )
+
+
+def iforest_scores(
+    trades: DataFrame, settings: Settings = DEFAULTS, slices: Slices | None = None
+) -> DataFrame:
+    """Trades with features, anomaly score, flag and model tag.
+
+    The score is the anomaly measure minus the symbol's contamination threshold; positive means
+    flagged. Symbols below ``forest_min_rows`` get score 0, no flag and no model. Features, moments,
+    trees and raw scores feed several consumers each, so they are written once to the shared folder.
+    """
+    features = materialize(ml_features(trades, settings, slices), "forest-features")
+    model, scored = _fit(features, settings)
+    return _judged(scored, model.thresholds, features.columns, settings, written=False)
+
+
+def fit_model(trades: DataFrame, settings: Settings = DEFAULTS) -> ForestModel:
+    """A model to keep, fitted on ``trades``."""
+    return _fit(materialize(ml_features(trades, settings), "forest-features"), settings)[0]
+
+
+def save_model(model: ForestModel, path: str, keep: int = 2) -> str:
+    """Write the model as the current version at ``path``; returns the version's directory."""
+    spark = model.trees.sparkSession
+    version = f"model-{uuid.uuid4().hex}"
+    for part in dataclasses.fields(model):
+        getattr(model, part.name).write.parquet(f"{path}/{version}/{part.name}")
+    publish(spark, path, version, keep)
+    return f"{path}/{version}"
+
+
+def load_model(spark: SparkSession, path: str) -> ForestModel:
+    """The current version of the model at ``path``."""
+    version = current(spark, path)
+    return ForestModel(*(spark.read.parquet(f"{version}/{f.name}") for f in dataclasses.fields(ForestModel)))
+
+
+def apply_model(features: DataFrame, model: ForestModel, settings: Settings = DEFAULTS) -> DataFrame:
+    """As ``iforest_scores``, of rows with features by a kept model; symbols without one score 0."""
+    sizes = symbol_sizes(model.moments, settings)
+    scaled = with_scaled_features(features, model.moments, settings, "left")
+    scored = score_rows(scaled, model.trees, sizes, settings)
+    return _judged(scored, model.thresholds, features.columns, settings, written=True)

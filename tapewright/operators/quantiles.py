@@ -1,4 +1,4 @@
-"""Exact interpolated quantiles per group without gathering a group in one task."""
+"""Quantiles per group without gathering a group in one task: exact ones, and from sketches."""
 
 from __future__ import annotations
 
@@ -100,3 +100,40 @@ def _piecewise_quantiles(
             F.array_sort(F.collect_list(F.struct("slot", "value"))), lambda pair: pair["value"]
         ).alias("quantiles")
     )
+
+
+# --- sketches ----------------------------------------------------------------------------------
+
+# Rank error of a KLL sketch of size k, at 99 % confidence, is ERROR / k ** POWER; and
+# the sizes that it can have.
+ERROR, POWER = 2.296, 0.9021
+SIZES = (8, 65_535)
+
+
+def sketch_size(rank_error: float) -> int:
+    """The least size of a sketch whose quantiles are off by ``rank_error`` of all ranks at most."""
+    size = math.ceil((ERROR / rank_error) ** (1 / POWER))
+    if size > SIZES[1]:
+        raise ValueError(f"No sketch has a rank error of {rank_error}; the least is {ERROR / SIZES[1] ** POWER:.1e}")
+    return max(size, SIZES[0])
+
+
+def quantile_sketches(df: DataFrame, group: Sequence[str], value: str, rank_error: float) -> DataFrame:
+    """One row per group with a ``sketch`` of its values: a few kilobytes, whatever the group's size.
+
+    Sketches are filled where rows lie and merged, so one small row per task and group is shuffled.
+    They can be kept and merged later (``merged_sketches``), say one per day.
+    """
+    present = df.select(*group, F.col(value).cast("double").alias("value")).dropna()
+    return present.groupBy(*group).agg(F.kll_sketch_agg_double("value", F.lit(sketch_size(rank_error))).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, group: Sequence[str]) -> DataFrame:
+    """One sketch per group from several: that of all their values."""
+    return sketches.groupBy(*group).agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+
+
+def sketched_quantiles(sketches: DataFrame, group: Sequence[str], ranks: Sequence[float]) -> DataFrame:
+    """As ``exact_quantiles``, from sketches; the values are ones that occur."""
+    wanted = [F.kll_sketch_get_quantile_double("sketch", F.lit(float(r))) for r in ranks]
+    return sketches.select(*group, F.array(*wanted).alias("quantiles"))

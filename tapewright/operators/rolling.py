@@ -94,12 +94,14 @@ def feature_moments(features: DataFrame) -> DataFrame:
 
 
 def scaled_features(
-    features: DataFrame, settings: Settings = DEFAULTS, moments: DataFrame | None = None
+    features: DataFrame, settings: Settings = DEFAULTS, moments: DataFrame | None = None,
+    how: str = "inner",
 ) -> DataFrame:
     """Standardise the feature columns per symbol: population deviation, a zero one counts as 1.
 
     The moments are partial aggregates looked up by symbol, so no symbol is gathered in one task.
-    ``moments`` may give them as a written table.
+    ``moments`` may give them as a written table; with ``how`` "left", symbols that it lacks are kept
+    and have null features.
     """
     written = moments is not None
     moments = moments if written else feature_moments(features)
@@ -110,7 +112,7 @@ def scaled_features(
         return (F.coalesce(F.col(name), F.lit(0.0)) - F.col(f"__{name}_mean")) / unit
 
     others = [c for c in features.columns if c not in FEATURES]
-    joined = join_lookup(features, moments.drop("rows"), ["symbol"], settings, written=written)
+    joined = join_lookup(features, moments.drop("rows"), ["symbol"], settings, how, written=written)
     return joined.select(
         *others, *[scaled(c).alias(c) for c in FEATURES]
     )

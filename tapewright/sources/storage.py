@@ -98,9 +98,14 @@ def write_snapshot(df: DataFrame, path: str, form: str = "parquet", keep: int =
     leaves what was; readers that have resolved the table before go on with the old directory,
     which stays until ``keep`` newer ones exist. Two writers at a time give two snapshots.
     """
-    spark = df.sparkSession
     data = f"rows-{uuid.uuid4().hex}"
     write_table(df, f"{path}/{data}", form, mode="errorifexists")
+    publish(df.sparkSession, path, data, keep)
+    return f"{path}/{data}"
+
+
+def publish(spark: SparkSession, path: str, data: str, keep: int = 2) -> None:
+    """Make the written directory ``data`` below ``path`` the current one."""
     known = _pointers(spark, path)
     number = known[-1][0] + 1 if known else 1
     where, system = _at(spark, f"{path}/{POINTERS}/{number:012d}-{data}")
@@ -108,4 +113,3 @@ def write_snapshot(df: DataFrame, path: str, form: str = "parquet", keep: int =
     for old, directory in known[: max(0, len(known) + 1 - keep)]:
         delete(spark, f"{path}/{POINTERS}/{old:012d}-{directory}")
         delete(spark, f"{path}/{directory}")
-    return f"{path}/{data}"
