@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import csv
-from urllib.parse import unquote
+import sys
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +17,12 @@ from tapewright.functions.times import utc_day
 from tapewright.functions.values import truthy_text
 from tapewright.operators.parse import parse_trades
 from tapewright.schemas import WINDOW_AGGREGATE
-from tapewright.sources.storage import current
+from tapewright.sources import storage
+from tapewright.sources.storage import OPENED, current, open_uri
+
+# Python workers get these functions with the job, whether or not the package is installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+cloudpickle.register_pickle_by_value(storage)
 
 
 def is_missing(error: AnalysisException) -> bool:
@@ -78,20 +86,57 @@ def typed_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.select(*[typed(f).alias(f.name) for f in schema])
 
 
-def csv_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The headers of the CSV files below ``path``, and the files of each.
+#: Bytes that are read of a file at a time, and at most, to find the end of its first line.
+HEAD_PIECE, HEAD_BYTES = 1 << 14, 1 << 20
 
-    The first line of each file's first block is its header. What reaches the driver is one line
-    per file.
-    """
+
+def first_line(stream) -> str:
+    """The first line of an open binary file; no more than HEAD_BYTES are read for it."""
+    head = b""
+    while b"\n" not in head and len(head) < HEAD_BYTES:
+        piece = stream.read(HEAD_PIECE)
+        if not piece:
+            break
+        head += piece
+    return head.split(b"\n", 1)[0].decode("utf-8", "replace").rstrip("\r").removeprefix("\ufeff")
+
+
+def _headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = []
+        for path in batch.column("path").to_pylist():
+            system, place = open_uri(path)
+            with system.open_input_stream(place, compression="detect") as stream:
+                lines.append(first_line(stream))
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), batch.column("path")], names=["header", "path"])
+
+
+def _headers_by_scan(spark: SparkSession, path: str) -> DataFrame:
+    """header, path from Spark's own reader, for paths that tasks cannot open; files are read in full."""
     text = spark.read.option("recursiveFileLookup", "true").text(path)
     lines = text.select("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"), "value")
     first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.min(F.struct("n", "value"))["value"].alias("header"))
-    found: dict[tuple[str, ...], list[str]] = {}
-    for row in first.orderBy("file_path").collect():
-        names = tuple(name.strip() for name in next(csv.reader([row["header"].lstrip("\ufeff")]), []))
-        found.setdefault(names, []).append(unquote(row["file_path"]))  # Spark encodes it
-    return found
+    named = F.url_decode(F.replace("file_path", F.lit("+"), F.lit("%2B")))  # Spark encodes it
+    return first.select(F.ltrim("header", F.lit("\ufeff")).alias("header"), named.alias("path"))
+
+
+def csv_layouts(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The headers of the CSV files below ``path``, and the files of each.
+
+    Tasks read the head of each file, a few kilobytes; files with the same header meet before the
+    driver sees them, in one row per layout.
+    """
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    listed = listed.where("length > 0").select("path")  # names and sizes; contents are not read
+    whole = spark._jvm.org.apache.hadoop.fs.Path(path)
+    scheme = whole.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    found = listed.mapInArrow(_headers, "header string, path string") if scheme in OPENED else _headers_by_scan(spark, path)
+    layouts = found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("files"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in layouts.orderBy(F.col("files")[0]).collect():
+        names = tuple(name.strip() for name in next(csv.reader([row["header"]]), []))
+        out.setdefault(names, []).extend(row["files"])
+    return out
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -100,11 +145,14 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     Files may have other orders of columns, further columns, or lack some, which are null then.
     """
     out = None
-    for names, files in csv_layouts(spark, path).items():
+    layouts = csv_layouts(spark, path)
+    for names, files in layouts.items():
         if not set(names) & set(schema.names):
             raise ValueError(f"No known column in the header of {files[0]}")
         text = T.StructType([T.StructField(name, T.StringType(), True) for name in names])
-        raw = spark.read.option("header", "true").schema(text).csv(files)
+        # With one layout Spark lists the files itself.
+        reader = spark.read.option("header", "true").schema(text)
+        raw = reader.option("recursiveFileLookup", "true").csv(path) if len(layouts) == 1 else reader.csv(files)
         absent = {f.name: F.lit(None).cast("string") for f in schema if f.name not in names}
         rows = typed_columns(raw.withColumns(absent) if absent else raw, schema)
         out = rows if out is None else out.unionByName(rows)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable
 
@@ -11,6 +12,8 @@ from tapewright.streaming.sinks import write_table
 
 #: Folder of the pointers to a table's snapshots.
 POINTERS = "_snapshots"
+#: Schemes of paths that tasks can open without the JVM.
+OPENED = ("file", "hdfs", "s3", "gs")
 _BUFFER = 1 << 20
 
 
@@ -20,6 +23,14 @@ def _at(spark: SparkSession, path: str):
     return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def open_uri(uri: str):
+    """Arrow's file system for a URI, and the path in it; for use in tasks."""
+    from pyarrow import fs
+
+    local = re.fullmatch(r"(?:file:)?(?://(?=/))?(/.*)", uri)
+    return (fs.LocalFileSystem(), local[1]) if local else fs.FileSystem.from_uri(uri)
+
+
 def list_names(spark: SparkSession, directory: str) -> list[tuple[str, int]]:
     """Names and sizes of what a directory holds; nothing if there is no such directory."""
     where, system = _at(spark, directory)

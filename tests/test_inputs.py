@@ -98,3 +98,42 @@ def test_document_holds_every_window(spark):
                                    " ml_anomaly_score double, is_ml_anomaly boolean, ml_model string, quantity double, trade_id long")
     payload = stream_payload(windows, forest).select(F.from_json("payload", "price_series array<string>").alias("p"))
     assert payload.select(F.size("p.price_series")).first()[0] == 1500
+
+
+class Counted:
+    def __init__(self, data):
+        self.data, self.read_bytes = data, 0
+
+    def read(self, n):
+        out = self.data[self.read_bytes : self.read_bytes + n]
+        self.read_bytes += len(out)
+        return out
+
+
+def test_headers_are_found_in_the_head_of_a_file():
+    from tapewright.sources.files import HEAD_BYTES, HEAD_PIECE, first_line
+
+    stream = Counted(b"\xef\xbb\xbfsymbol,price\r\n" + b"x" * 10_000_000)
+    assert first_line(stream) == "symbol,price" and stream.read_bytes <= HEAD_PIECE
+    endless = Counted(b"y" * 10_000_000)
+    assert len(first_line(endless)) <= HEAD_BYTES + HEAD_PIECE and endless.read_bytes <= HEAD_BYTES + HEAD_PIECE
+    assert first_line(Counted(b"")) == "" and first_line(Counted(b"a,b")) == "a,b"
+
+
+def test_layouts_come_as_one_row_each(spark, tmp_path):
+    from tapewright.sources import files
+
+    for i in range(12):
+        folder = tmp_path / f"day {i % 3}" / "a+b%20c"
+        folder.mkdir(parents=True, exist_ok=True)
+        names = "symbol,trade_id" if i % 4 else "trade_id,symbol,other"
+        values = f"S{i},{i}" if i % 4 else f"{i},S{i},x"
+        (folder / f"f{i}.csv").write_text(f"{names}\n{values}\n")
+    (tmp_path / "empty.csv").write_text("")
+    found = files.csv_layouts(spark, str(tmp_path))
+    assert {k: len(v) for k, v in found.items()} == {("symbol", "trade_id"): 9, ("trade_id", "symbol", "other"): 3}
+    schema = spark.createDataFrame([], "symbol string, trade_id long").schema
+    want = [(f"S{i}", i) for i in range(12)]
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path), schema).collect()), key=lambda r: r[1]) == want
+    scanned = {r["header"]: r["n"] for r in files._headers_by_scan(spark, str(tmp_path)).groupBy("header").agg(F.count("*").alias("n")).collect()}
+    assert scanned == {"symbol,trade_id": 9, "trade_id,symbol,other": 3}
