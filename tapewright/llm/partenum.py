@@ -16,6 +16,11 @@ What shares a signature is not paired off: equal sets are one class beforehand,
 group members are compared with one leader per round. Verified links make components; only groups
 that are still in several components are looked at again, at last pair by pair across components.
 
+Before any text is moved, pairs pass a map: each set has the parity of its shingles' counts in MAP * 64
+buckets. Buckets of different parity hold at least one shingle that only one of two sets has, so as
+many as these are more than the differences that similar sets may have, the pair is none. The test
+loses no link; of sets up to some thousand shingles it lets little pass that the exact one does not.
+
 Defined results: a text with fewer words is one shingle; without words or text the set is empty and
 linked with nothing, and the row is its own component. Rows without an id keep null as component.
 Rows that share one id are nodes of one name. Shingles are held as 64-bit fingerprints.
@@ -27,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tapewright.llm.common import ID_ROWS, anti_join, column, in_batches, materialize, ship, sub_batches, utf8
@@ -36,15 +41,12 @@ from tapewright.operators.joins import join_lookup
 
 SPARE = 1
 CHOICES = 3
-#: Rows with profiles that are broadcast at most.
-WIDE_ROWS = 100_000
+#: 64-bit words of a set's parity map.
+MAP = 32
 #: Members of a signature's group that one task compares with its smallest at most.
 FOLLOWERS = 4_096
 #: Rounds with one leader per group, as ``_links`` tells.
 ROUNDS = 3
-#: 64-bit words of the map of missing shingles, and the columns of a profile.
-MASKS = 8
-PROFILE = ("n_lead", "n_own", "extra", *(f"mask{i}" for i in range(MASKS)))
 _BLOCK = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -184,25 +186,44 @@ class Signer:
         return found[~empty.ravel()]
 
 
+def parity_map(items: np.ndarray) -> np.ndarray:
+    """MAP words: whether an odd number of items falls into each of the buckets."""
+    odd = np.bincount((items >> np.uint64(20)).astype(np.int64) & (64 * MAP - 1), minlength=64 * MAP) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+
+
 def shingle_summary(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles and two fingerprints of the set, for all rows of (doc_id, text)."""
+    """doc_id, n_shingles, two fingerprints and the parity map of the set, for all rows of (doc_id, text)."""
 
     def summary(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sizes, one, two = [], [], []
+        sizes, one, two, maps = [], [], [], []
         for part in sub_batches(batch):
             for items in shingle_sets(*utf8(part), words):
                 sizes.append(len(items))
                 one.append(mix(items, 11).sum(dtype=np.uint64))
                 two.append(mix(items, 12).sum(dtype=np.uint64))
+                maps.append(parity_map(items))
+        flat = pa.array(np.concatenate(maps) if maps else np.zeros(0, np.int64))
         return pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
                 "f1": pa.array(np.array(one, np.uint64).astype(np.int64)),
                 "f2": pa.array(np.array(two, np.uint64).astype(np.int64)),
+                "map": pa.ListArray.from_arrays(np.arange(0, MAP * len(sizes) + 1, MAP, dtype=np.int32), flat),
             }
         )
 
-    return in_batches(docs, summary, "doc_id long, n_shingles long, f1 long, f2 long")
+    return in_batches(docs, summary, "doc_id long, n_shingles long, f1 long, f2 long, map array<long>")
+
+
+def may_link(percent: int) -> Column:
+    """Whether the maps of two sets (a_map, a_n, b_map, b_n) leave it open that they are similar."""
+    unlike = F.aggregate(
+        F.zip_with("a_map", "b_map", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n
+    )
+    larger, smaller = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
+    every = F.col("a_n") + F.col("b_n")
+    return (100 * smaller >= percent * larger) & ((100 + percent) * unlike <= (100 - percent) * every)
 
 
 def signature_rows(docs: DataFrame, words: int, percent: int, seed: int = 0) -> DataFrame:
@@ -267,14 +288,17 @@ def _shared_groups(signatures: DataFrame) -> DataFrame:
     return sorted_.mapInArrow(shared, "grp long, doc_id long, own boolean")
 
 
-def _compared(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """a, b, d (Jaccard distance), linked and a profile of all written ``pairs``. a leads, b follows.
+def _possible(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The ``pairs`` (a, b) that their maps do not rule out."""
+    of = lambda e: maps.select(F.col("doc_id").alias(e), F.col("n_shingles").alias(f"{e}_n"), F.col("map").alias(f"{e}_map"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").where(may_link(percent)).select("a", "b").distinct()
 
-    The profile: sizes of a and b, how many of b's shingles a lacks, and a bit map (folded by hash)
-    of a's shingles that b lacks.
 
-    A leader's text meets its followers' texts in groups of about FOLLOWERS; a group is streamed,
-    and only the leader's set and one follower's are held.
+def _compared(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """a, b of the written ``pairs`` that link. a leads, b follows.
+
+    A leader's texts meet its followers' texts in groups of about FOLLOWERS; a group is streamed,
+    and only the leader's sets (one, but for ids that repeat) and one follower's are held.
     """
     sizes = pairs.groupBy("a").agg(F.count("*").alias("n"))
     salts = sizes.select("a", F.ceil(F.col("n") / FOLLOWERS).cast("int").alias("salts"))
@@ -289,31 +313,29 @@ def _compared(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
     met = docs.join(F.broadcast(wanted) if many <= ID_ROWS else wanted, "doc_id").select("a", "salt", "b", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead_now, items = None, None
+        lead_now, leads, following = None, [], False
         for batch in batches:
             for part in sub_batches(batch):
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
-                keep, found = [], []
+                keep = []
                 for i, own in enumerate(shingle_sets(*utf8(part), words)):
                     if b[i] is None:
-                        lead_now, items = a[i], own
-                    elif lead_now == a[i] and len(own) and len(items):
-                        missed = items[~np.isin(items, own, assume_unique=True)]
-                        both = len(items) - len(missed)
-                        every = len(own) + len(missed)
-                        bits = np.zeros(64 * MASKS, np.uint8)
-                        bits[(missed % np.uint64(64 * MASKS)).astype(np.int64)] = 1
-                        keep.append(i)
-                        found.append((1 - both / every, 100 * both >= percent * every, len(items), len(own), len(own) - both,
-                                      *np.packbits(bits, bitorder="little").view(np.int64).tolist()))
-                out = part.select(["a", "b"]).take(pa.array(keep, pa.int64()))
-                columns = list(zip(*found, strict=True)) or [[]] * (5 + MASKS)
-                kinds = [pa.float64(), pa.bool_()] + [pa.int64()] * (3 + MASKS)
-                arrays = [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays([*out.columns, *arrays], names=["a", "b", "d", "linked", *PROFILE])
+                        if lead_now != a[i] or following:
+                            leads = []
+                        if not any(np.array_equal(own, x) for x in leads):
+                            leads.append(own)
+                        lead_now, following = a[i], False
+                        continue
+                    following = True
+                    for items in leads if lead_now == a[i] and len(own) else ():
+                        both = len(np.intersect1d(items, own, assume_unique=True))
+                        if both and 100 * both >= percent * (len(items) + len(own) - both):
+                            keep.append(i)
+                            break
+                yield part.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
     order = met.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
-    return order.mapInArrow(verify, "a long, b long, d double, linked boolean, " + ", ".join(f"{c} long" for c in PROFILE))
+    return order.mapInArrow(verify, "a long, b long")
 
 
 def join_salts(pairs: DataFrame, salts: DataFrame) -> DataFrame:
@@ -335,82 +357,68 @@ def similar_components(
     rows = docs.select(column(docs, doc_id).cast("long").alias("doc_id"), column(docs, text).alias("text"))
     sets = materialize(shingle_summary(rows, words), "sets")
     named = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = named.groupBy("n_shingles", "f1", "f2").agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
+    mark = ["n_shingles", "f1", "f2"]
+    classes = named.groupBy(*mark).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last"))
     classes = classes.where("rep < last").drop("last")
     copies = materialize(
-        join_lookup(named, classes, ["n_shingles", "f1", "f2"]).where("doc_id <> rep").select("doc_id", "rep").distinct(),
-        "copies",
+        join_lookup(named.drop("map"), classes, mark).where("doc_id <> rep").select("doc_id", "rep").distinct(), "copies"
     )
+    # An id with several texts, of which one is a copy, stays for the others.
+    own = join_lookup(named.select("doc_id", *mark), copies.select("doc_id").distinct(), ["doc_id"], how="left_semi")
+    spent = own.groupBy("doc_id").agg(F.countDistinct(*mark).alias("n")).where("n = 1").select("doc_id")
     usable = rows.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    single = anti_join(usable, copies)
-    members = materialize(_shared_groups(signature_rows(single, words, percent)), "groups")
-    links = _links(single, members, words, percent)
+    members = materialize(_shared_groups(signature_rows(anti_join(usable, spent), words, percent)), "groups")
+    links = _links(usable, members, named.select("doc_id", "n_shingles", "map"), words, percent)
     same = copies.select(F.col("doc_id").alias("b"), F.col("rep").alias("a"))
     ends = materialize(components(links.unionByName(same)), "components")
-    out = sets.join(ends.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+    out = sets.select("doc_id", "n_shingles").join(ends.withColumnRenamed("node", "doc_id"), "doc_id", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _links(docs: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+def _links(docs: DataFrame, members: DataFrame, maps: DataFrame, words: int, percent: int) -> DataFrame:
     """a, b: verified links that connect all similar documents.
 
     In each round every open group has a leader, and its members are compared with it: as many pairs
-    as members. Leaders are drawn by a hash, then have the most links so far, then are the farthest
-    from the second leader. Groups within one component are done. What is left is compared pair by
-    pair, across components, where no leader rules it out: Jaccard distance is a metric, so documents
-    whose distances from a leader differ by more than the limit are not similar; and two documents share
-    no more than what neither lacks of the leader, and the smaller of what each has besides (profiles
-    of the second leader; the leader's own is unknown and rules nothing out).
-
-    Nor is a pair tested that shares too few signatures. A part without a difference gives three, with
+    as members. Leaders are drawn by a hash, then are those with the most links so far, then those
+    without any. Groups within one component are done. What is left is compared pair by pair across
+    components, where the maps and the number of shared signatures do not rule it out.
+
+    A pair is not tested that shares too few signatures. A part without a difference gives three, with
     one difference one, and empty choices are left out of one part at most. For even k the fewest are
     three (no part without a difference: four with one, one of them left out; else more). For odd k
     three parts with one difference each can be all that agree, which leaves two. A pair meets in one
     band only, so all its groups tell the same of k. So every similar pair is tested or connected.
     """
-    far = (100 - percent) / 100 + 1e-9
     nodes = degrees = None
-    tests = []
+    found = []
     for turn in range(ROUNDS):
         named = _labelled(members, nodes, degrees)
         draw = F.xxhash64("doc_id", F.lit(turn)).alias("h")
-        first = (F.lit(0), F.col("degree"), F.col("d1") if turn == 2 else F.lit(0))[turn]
+        first = (F.lit(0), F.col("degree"), -F.col("degree"))[turn]
         leader = F.max(F.struct("own", first.alias("f"), draw, "doc_id"))
         heads = named.groupBy("grp").agg(leader.alias("l"), F.min("component").alias("lo"), F.max("component").alias("hi"))
         heads = heads.where("lo < hi").select("grp", F.col("l.doc_id").alias("a"))
-        kept = [c for c in members.columns if c not in ("component", "degree")]
-        met = named.select(*kept, "component").join(heads, "grp")
+        met = named.join(heads, "grp").select(*members.columns, "a")
         met = materialize(met, "open") if turn else met
-        pairs = materialize(met.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct(), "pairs")
-        tests.append(materialize(_compared(docs, pairs, words, percent), "tests"))
-        links = _union(tests).where("linked").select("a", "b")
-        nodes = materialize(components(links), "nodes")
-        degrees = materialize(_degrees(links), "degrees")
-        # Distances from the leader go with the members; few enough of them are broadcast.
-        carried = PROFILE if turn == 1 else ()
-        known = tests[-1].select("a", F.col("b").alias("doc_id"), F.col("d").alias(f"d{turn}"), *carried)
-        known = F.broadcast(known) if tests[-1].count() <= WIDE_ROWS else known
-        members = met.join(known, ["a", "doc_id"], "left").withColumn(
-            f"d{turn}", F.when(F.col("a") == F.col("doc_id"), 0.0).otherwise(F.col(f"d{turn}"))
-        ).drop("a", "component")
-    named = materialize(_open_groups(_labelled(members, nodes)), "open")
-    ends = [named.select("grp", *(F.col(c).alias(f"{e}_{c}") for c in named.columns if c != "grp")) for e in "xy"]
-    near = [F.abs(F.col(f"x_d{t}") - F.col(f"y_d{t}")) <= far for t in range(ROUNDS)]
-    lacking = F.lit(0)
-    for c in PROFILE[3:]:
-        lacking += F.bit_count(F.col(f"x_{c}").bitwiseOR(F.col(f"y_{c}")))
-    most = F.col("x_n_lead") - lacking + F.least("x_extra", "y_extra")
-    near.append(100 * most >= percent * (F.col("x_n_own") + F.col("y_n_own") - most))
-    near.append(100 * F.least("x_n_own", "y_n_own") >= percent * F.greatest("x_n_own", "y_n_own"))
-    rule = (F.col("x_own") | F.col("y_own")) & (F.col("x_doc_id") < F.col("y_doc_id")) & (F.col("x_component") != F.col("y_component"))
-    for n in near:
-        rule &= F.coalesce(n, F.lit(True))
-    across = ends[0].join(ends[1], "grp").where(rule).groupBy(F.col("x_doc_id").alias("a"), F.col("y_doc_id").alias("b"))
+        pairs = met.where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+        pairs = materialize(_possible(pairs, maps, percent), "pairs")
+        found.append(materialize(_compared(docs, pairs, words, percent), "links"))
+        nodes = materialize(components(_union(found)), "nodes")
+        degrees = materialize(_degrees(_union(found)), "degrees")
+        members = met.drop("a")
+    named = _open_groups(_labelled(members, nodes)).join(maps, "doc_id")
+    named = materialize(named.withColumnRenamed("n_shingles", "n"), "open")
+    ends = [
+        named.select("grp", F.col("doc_id").alias(e), *(F.col(c).alias(f"{e}_{c}") for c in ("own", "component", "n", "map")))
+        for e in "ab"
+    ]
+    rule = (F.col("a_own") | F.col("b_own")) & (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
+    across = ends[0].join(ends[1], "grp").where(rule & may_link(percent)).groupBy("a", "b")
     odd = F.max(F.col("grp").bitwiseAND(F.lit(1)))
     rest = across.agg((F.count("*") + odd).alias("n")).where("n >= 3").select("a", "b")
     rest = materialize(rest, "rest")
-    tests.append(materialize(_compared(docs, rest, words, percent), "tests"))
-    return _union(tests).where("linked").select("a", "b")
+    found.append(materialize(_compared(docs, rest, words, percent), "links"))
+    return _union(found)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -179,10 +179,39 @@ def test_pair_with_two_shared_signatures_is_tested(spark):
     rows += [(i, " ".join(f"d{i}x{j}" for j in range(15))) for i in range(3, 60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     members = [(g, i, True) for g in (1, 3) for i, _ in rows]
-    links = partenum._links(docs, spark.createDataFrame(members, "grp long, doc_id long, own boolean"), 1, 80)
+    maps = partenum.shingle_summary(docs, 1).select("doc_id", "n_shingles", "map")
+    links = partenum._links(docs, spark.createDataFrame(members, "grp long, doc_id long, own boolean"), maps, 1, 80)
     assert {(r["a"], r["b"]) for r in links.collect()} == {(1, 2)}
 
 
+def test_maps_never_rule_out_a_similar_pair(spark):
+    draw = np.random.default_rng(6)
+    rows, want = [], []
+    for size in (1, 2, 7, 20, 60, 300, 2000, 9000):
+        for _ in range(12):
+            one, two = draw.integers(0, max(1, size // 8) + 1, 2)
+            a, b = similar_pair(draw, max(1, size - int(one)), int(one), int(two))
+            both = len(np.intersect1d(a, b))
+            want.append(100 * both >= 85 * (len(a) + len(b) - both))
+            rows.append((len(rows), partenum.parity_map(a).tolist(), len(a), partenum.parity_map(b).tolist(), len(b)))
+    for _ in range(200):  # a family with similarities of about two thirds
+        a, b = similar_pair(draw, 400, 100, 100)
+        rows.append((len(rows), partenum.parity_map(a).tolist(), len(a), partenum.parity_map(b).tolist(), len(b)))
+    frame = spark.createDataFrame(rows, "i long, a_map array<long>, a_n long, b_map array<long>, b_n long")
+    kept = {r["i"] for r in frame.where(partenum.may_link(85)).collect()}
+    assert {i for i, w in enumerate(want) if w} <= kept and sum(want) > 20
+    assert len(kept & set(range(len(want), len(rows)))) == 0
+
+
+def test_an_id_with_two_texts_keeps_both(spark):
+    words = [f"w{i}" for i in range(60)]
+    other = [f"v{i}" for i in range(60)]
+    text, near = " ".join(other), " ".join([*other[:59], "changed"])
+    rows = [(1, " ".join(words)), (7, " ".join(words)), (7, text), (9, near)]
+    got = {(r["doc_id"], r["component_id"]) for r in partenum.similar_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 1), (7, 1), (9, 1)}
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(200).selectExpr("id + 1 AS a", "id AS b")
     got = {r["node"]: r["component"] for r in components.components(edges).collect()}
