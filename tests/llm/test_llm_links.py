@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -420,6 +421,64 @@ def test_personal_data_rows(spark):
     assert skipcrf.personal_data(docs.where("false")).count() == 0
 
 
+def a_card(draw):
+    while True:
+        digits = "".join(draw.choice("0123456789") for _ in range(16))
+        if skipcrf.luhn(digits):
+            return digits
+
+
+def mentions(draw):
+    """A datum as the rules know it, and as they do not."""
+    name = f"{draw.choice('bdfgkl')}{draw.choice('aeiou')}nna.{draw.randrange(10, 100)}"
+    ip = ".".join(str(draw.randrange(256)) for _ in range(4))
+    card = a_card(draw)
+    return [(f"{name}@mail.example.com", name), (ip, ip.replace(".", "-")), (card, ".".join(card[i : i + 4] for i in (0, 4, 8, 12)))]
+
+
+def test_masked_mentions_are_found_and_clean_texts_left_alone():
+    draw = random.Random(5)
+    words = [f"w{draw.choice('abc')}{i}" if i % 7 == 0 else "".join(draw.choices("abcdefgh", k=5)) for i in range(400)]
+    filler = lambda: " ".join(draw.choices(words, k=25))
+    phone = lambda: f"+1 ({draw.randrange(200, 999)}) 555-{draw.randrange(1000, 9999)}"
+    sample = []
+    for i in range(600):
+        data = [mentions(draw)[i % 3][0], phone()][i % 4 == 3]
+        sample.append(f"{filler()} {data} {filler()} {data if i % 2 else filler()} {draw.randrange(10**7)} {filler()}")
+    weights = skipcrf.train(graph_of(sample + [filler() for _ in range(600)]))
+    hit = total = 0
+    for _ in range(60):
+        for known, again in mentions(draw)[1:]:  # the bare name of an address gets 0.7 to 0.9, and is not added
+            text = f"{filler()} write {known} soon {filler()} then {again} was seen {filler()}"
+            (added,) = skipcrf.added_spans([text], [skipcrf.base_spans(text)], weights, 0.9)
+            assert all(text[a:b] == again for _, a, b in added)
+            hit, total = hit + len(added), total + 1
+    assert hit >= 0.9 * total
+    clean = [f"{filler()} {draw.randrange(10**12)} {filler()} v{i}.{i}.2 {filler()} {filler()}" for i in range(300)]
+    assert not any(skipcrf.added_spans(clean, [skipcrf.base_spans(t) for t in clean], weights, 0.9))
+
+
+@pytest.mark.parametrize("text", ["a" * 2_000_000, "\u5b57" * 1_000_000, "a1" * 400_000, "x@y.zz," * 40_000, "joe.77@x.org " + "joe.7 " * 40_000, "+" * 200_000 + "@" * 200_000])
+def test_long_texts_take_seconds(text):
+    start = time.monotonic()
+    base = skipcrf.base_spans(text)
+    weights = skipcrf.Weights(np.zeros((skipcrf.FEATURES, 5)), np.zeros((5, 5)), 6.0 * np.eye(5))
+    skipcrf.added_spans([text], [base], weights, 0.9)
+    assert time.monotonic() - start < 30
+
+
+def test_zeros_in_front_do_not_count():
+    spans = skipcrf.base_spans("0000000000000000000000010.1.1.1 and 0256.1.1.1 and " + "0" * 5000 + ".0.0.0")
+    assert [b - a for _, a, b in spans] == [31, 5006]
+
+
+def test_long_neighbours_stay_whole():
+    long = "x" * 30 + "7" + "y" * 60
+    text = f"a.b@c.org {long} 1.2.3.4 then {long}"
+    nodes = skipcrf._tokens(text, skipcrf.base_spans(text))
+    assert sum(text[a:b] == long and active for a, b, _, active in nodes) == 2
+
+
 def test_training_learns_the_rules():
     texts = [f"call +1 (20{i}) 555-01{i}0 or write u.{i}1@h{i}.example.org now" for i in range(9)] + ["see 3.0 and 4.1 then 12345678"] * 9
     graph = graph_of(texts)
