@@ -33,14 +33,16 @@ from pyspark.sql import functions as F
 from tapewright.llm.common import column, in_batches, ship, texts_of
 
 # Elements of the HTML standard by what they mean for text.
-RAW = {"script", "style", "noscript", "template", "iframe", "svg", "math", "head", "title", "object"}
+RAW = {"script", "style", "template", "iframe", "head", "title"}
 INLINE = set(
-    "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span"
-    " strike strong sub sup time tt u var wbr".split()
+    "a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark math mfrac mi mn mo mrow msqrt"
+    " msub msup mtext q s samp small span strike strong sub sup time tt u var wbr".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 SELF_CLOSING = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+#: Parts of running text: within an article their names tell style, not boilerplate.
+RUNNING = {"p", "li", "blockquote", "pre", "figcaption", "dd", "dt", "td", "th", *HEADINGS}
 # Log-odds of being content that names of elements and of classes and ids carry.
 TAG_ODDS = {
     "article": 5.0, "main": 4.0, "nav": -8.0, "footer": -8.0, "aside": -8.0, "form": -8.0, "menu": -8.0,
@@ -126,7 +128,8 @@ class _Reader:
             odds = 0.0  # an article's own head
         if attributes:
             words = {w for m in _NAMES.findall(attributes) for w in _WORD.findall(m.lower())}
-            if words & NOISE_WORDS and not (tag in ("html", "body") or tag == "header" and top.inside):
+            plain = tag in INLINE or top.inside and (tag in RUNNING or tag == "header")
+            if words & NOISE_WORDS and not (plain or tag in ("html", "body")):
                 odds += NOISE_ODDS
             elif words & CONTENT_WORDS:
                 odds += CONTENT_ODDS

@@ -487,3 +487,14 @@ def test_training_learns_the_rules():
     blind = skipcrf.Graph(graph.doc, graph.span, [0] * len(label), graph.features, graph.chain, graph.skip)
     assert (skipcrf.infer(blind, weights).argmax(axis=1) == label).mean() > 0.95
     assert skipcrf.train(graph_of(["no data here"])) is None
+
+
+@pytest.mark.parametrize(("page", "text"), [
+    ("<article><p>Let <math><mi>x</mi></math> be.</p></article>", "Let x be."),
+    ("<article>one <object>two three</article>", "one two three"),
+    ('<article><p>The <span class="share">market share</span> rose.</p><p class="teaser">Lead.</p></article>', "The market share rose. Lead."),
+    ('<article><p>a</p><div class="share">x</div><noscript><p>b</p></noscript></article>', "a b"),
+    ("<article><p>a</p><svg><text>label</text></svg><script>no()</script></article>", "a label"),
+])
+def test_nothing_of_an_article_is_dropped(page, text):
+    assert mincut.main_text(page, np.zeros(mincut.FEATURES)) == text
