@@ -2,13 +2,16 @@
 
 A text is cut at single spaces that stand between two characters which are no white space. Neither
 of the tokenizers used here lets a token reach over such a place, nor looks across it, so the ids of
-a text are the ids of its chunks in a row. Common chunks are encoded once per Python worker.
+a text are the ids of its chunks in a row. A tokenizer that drops white space altogether is cut at
+every space, tab and line end. Common chunks are encoded once per Python worker.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import compress
+from operator import not_
 
 import numpy as np
 
@@ -21,10 +24,11 @@ _MARKS = ".,;:!?*$%&#\")]}|"
 class ChunkEncoder:
     """Little-endian 32-bit ids of texts, as bytes.
 
-    ``capacity`` bounds the number of remembered chunks; the memory is emptied when it is full.
+    ``capacity`` bounds the number of remembered chunks. When half of it is full, chunks that were not
+    seen since the last time are forgotten.
     """
 
-    def __init__(self, path: str, capacity: int = 700_000):
+    def __init__(self, path: str, capacity: int = 1_200_000):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,14 +37,18 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.capacity = capacity
         self.known: dict[str, bytes | None] = {}
+        self.former: dict[str, bytes | None] = {}
         self.parts: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.folds = self._ids(["A"]) == self._ids(["a"])
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
         # A word of letters is one pre-token: its last id is marked as an end, or its first as a start.
         self.ends = any(t.endswith("</w>") for t in vocabulary)
         marked = [i for t, i in vocabulary.items() if (t.endswith("</w>") if self.ends else t.startswith("\u0120"))]
         self.marked = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.marked[marked] = True
+        a, b, *spaced = self._ids(["a", "b", "a b", "\ta\r\n b ", " \n\n"])
+        self.drops_space = spaced == [a + b, a + b, b""]
 
     def _ids(self, chunks: Sequence[str]) -> list[bytes]:
         encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
@@ -52,11 +60,13 @@ class ChunkEncoder:
         out: list[bytes] = []
         for i in range(0, len(words), 1024):
             part = words[i : i + 1024]
-            ids = np.frombuffer(self._ids([" " + " ".join(part)])[0], "<u4")
+            raw = self._ids([" " + " ".join(part)])[0]
+            ids = np.frombuffer(raw, "<u4")
             cuts = np.flatnonzero(self.marked[ids]) + self.ends
             if len(cuts) == len(part) and (cuts[-1] == len(ids) if self.ends else cuts[0] == 0):
-                inner = cuts[:-1] if self.ends else cuts[1:]
-                out += [x.tobytes() for x in np.split(ids, inner)]
+                at = (4 * cuts).tolist()
+                at = [0, *at] if self.ends else [*at, len(raw)]
+                out += [raw[lo:hi] for lo, hi in zip(at, at[1:])]
             else:
                 out += self._ids([" " + w for w in part])
         return out
@@ -66,22 +76,24 @@ class ChunkEncoder:
 
         Letters and the ASCII marks after them are pre-tokens of their own, so they are learnt apart.
         """
-        parts, split, odd = self.parts, [], []
+        parts = self.parts
         if len(parts) > self.capacity:
             parts.clear()
-        for w in words:
-            core = w.rstrip(_MARKS)
-            if core.isalpha():
-                split.append((w, core.lower() if self.folds and max(core) <= "\u00ff" else core, w[len(core) :]))
-            elif w and w == w.strip():
+        parts[""] = b""
+        cores = [w.rstrip(_MARKS) for w in words]
+        letters = list(map(str.isalpha, cores))
+        odd = []
+        for w in compress(words, map(not_, letters)):
+            if self.drops_space or w and w == w.strip():
                 odd.append(w)
             else:
                 self.known[w] = None
-        cores = [c for c in dict.fromkeys(c for _, c, _ in split) if c not in parts]
-        parts.update(zip(cores, self._letters(cores), strict=True))
-        tails = [t for t in dict.fromkeys(t for _, _, t in split) if t and t not in parts]
-        parts.update(zip(tails, self._ids(tails), strict=True))
-        self.known.update((w, parts[core] + parts[tail] if tail else parts[core]) for w, core, tail in split)
+        split = [(w, c, w[len(c) :]) for w, c in compress(zip(words, cores, strict=True), letters)]
+        new = list({c for _, c, _ in split}.difference(parts))
+        parts.update(zip(new, self._letters(new), strict=True))
+        new = list({t for _, _, t in split}.difference(parts))
+        parts.update(zip(new, self._ids(new), strict=True))
+        self.known.update([(w, parts[core] + parts[tail]) for w, core, tail in split])
         for i in range(0, len(odd), 4096):
             part = odd[i : i + 4096]
             self.known.update(zip(part, self._ids([" " + w for w in part]), strict=True))
@@ -92,15 +104,36 @@ class ChunkEncoder:
             out += self._encode(texts[i : i + 64])
         return out
 
+    def _know(self, wanted: set[str]) -> None:
+        """See to it that ``known`` has all of these words."""
+        new = wanted.difference(self.known)
+        if len(self.known) + len(new) > self.capacity // 2:
+            self.known, self.former = {}, self.known
+            new = wanted
+        former = new.intersection(self.former)
+        self.known.update((w, self.former[w]) for w in former)
+        self._learn(list(new - former))
+
+    def _fold(self, text: str) -> str:
+        """Small letters, where the tokenizer sees no capitals: in Latin texts that name no added token."""
+        if not self.folds:
+            return text
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        small = text.lower()
+        return text if any(t in small for t in self.added) else small
+
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
+        if self.drops_space:
+            split = [t.replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ") for t in map(self._fold, texts)]
+            self._know(set().union(*split))
+            known = self.known.__getitem__
+            return [b"".join(map(known, words)) for words in split]
         cut = [t.partition(" ") for t in texts]
         split = [rest.split(" ") if space else [] for _, space, rest in cut]
-        wanted = set().union(*split)
-        new = wanted.difference(self.known)
-        if len(self.known) + len(new) > self.capacity:
-            self.known.clear()
-            new = wanted
-        self._learn(list(new))
+        self._know(set().union(*split))
         heads = self._ids([head for head, _, _ in cut])
         known, out = self.known.__getitem__, []
         for text, words, (head, _, _), ids in zip(texts, split, cut, heads, strict=True):
