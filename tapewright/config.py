@@ -35,7 +35,6 @@ class Settings:
 
     # Scale knobs: they decide how work is divided, never what the result is.
     rows_per_slice: int = 4_000_000
-    max_slices: int = 20_000
     slice_sample_rows: int = 50
     quantile_rows: int = 2_000_000
     lookup_rows: int = 200_000

@@ -47,7 +47,7 @@ def _piecewise_quantiles(
     Equal values are collapsed to one counted row by partial aggregation, so a value shared by
     most rows is as cheap as any other; what is sorted is one piece's distinct values.
     """
-    pieces = min(settings.max_slices, max(2, math.ceil(rows / settings.quantile_rows)))
+    pieces = max(2, math.ceil(rows / settings.quantile_rows))
     sampled = sampled_borders(present, "value", rows, pieces, settings.slice_sample_rows)
     cut = axis_slice(present, "value", sorted(set(sampled)), _PIECE)
 

@@ -9,8 +9,10 @@ per (symbol, slice). What a slice cannot know about its predecessors is added ex
 * running positions: each slice starts at the summed sizes of the slices before it
   (``with_position``).
 
-Slice borders come from quantiles of a bounded sample; they only balance the work. A slice id
-depends on nothing but the row and the borders, so a lost task recomputes the same slices.
+Slice borders come from quantiles of a sample; they only balance the work. A slice id depends on
+nothing but the row and the borders, so a lost task recomputes the same slices. There are as many
+slices as rows fill, without a limit: tasks search a row's slice in a sorted array (8 bytes per
+``rows_per_slice`` rows, 4 MB for two trillion rows), and hot symbols are a table to join with.
 """
 
 from __future__ import annotations
@@ -25,12 +27,15 @@ from pyspark.sql.window import WindowSpec
 
 from tapewright.config import DEFAULTS, Settings
 from tapewright.functions.times import utc_micros
+from tapewright.operators.joins import join_lookup
 
 SLICE = "__slice"
 POSITION = "__position"
 TIE = "__tie"
 _TIME_AXIS, _ID_AXIS = "__time_axis", "__id_axis"
 _TIME_SLICE, _ID_SLICE = "__time_slice", "__id_slice"
+_HOT, _HOT_TIME, _SYMBOL_KEY = "__hot", "__hot_time", "__symbol_key"
+_SAMPLE_TASK_ROWS = 1_000_000
 _LAST = 9.0e18  # axis value of a missing time or id: they sort last
 
 
@@ -45,23 +50,48 @@ def axis_slice(df: DataFrame, axis: str, borders: list[float], out: str) -> Data
 def sampled_borders(df: DataFrame, axis: str, rows: int, pieces: int, per_piece: int) -> list[float]:
     """About ``pieces`` - 1 quantiles of ``axis`` from a sample of ``per_piece`` rows per piece.
 
-    The sample is bounded by ``pieces * per_piece`` rows whatever the table's size, so ranking it
-    in one task is as well.
+    The sample is sorted by range, so that no task ranks more than about a million of its rows.
     """
     if pieces < 2:
         return []
     fraction = min(1.0, pieces * per_piece / max(rows, 1))
     sample = df.select(axis) if fraction >= 1.0 else df.select(axis).sample(fraction, seed=17)
     step = max(1, min(per_piece, rows // pieces))
-    ranked = sample.withColumn("__rank", F.row_number().over(Window.orderBy(axis)))
+    tasks = -(-min(rows, pieces * per_piece) // _SAMPLE_TASK_ROWS)
+    in_order = sample.repartitionByRange(max(1, tasks), axis).sortWithinPartitions(axis)
+    # The lower 33 bits of this id count the rows of a task.
+    nth = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    ranked = in_order.withColumn("__rank", nth)
     borders = ranked.filter(F.col("__rank") % step == 0).select(axis).toPandas()[axis]
     return sorted(borders)
 
 
-def among(symbol: Column, symbols: tuple[str | None, ...]) -> Column:
-    """Whether ``symbol`` is one of ``symbols``; a missing symbol is a symbol like any other."""
-    named = F.coalesce(symbol.isin(*[s for s in symbols if s is not None]), F.lit(False))
-    return named | symbol.isNull() if None in symbols else named
+def _symbol_key() -> Column:
+    """Text that differs for different symbols; a missing symbol is a symbol like any other."""
+    return F.coalesce(F.concat(F.lit("="), F.col("symbol")), F.lit(""))
+
+
+def mark_hot(trades: DataFrame, symbols: tuple[str | None, ...], settings: Settings = DEFAULTS) -> DataFrame:
+    """Add whether a trade's symbol is one of ``symbols``, at most one per ``rows_per_slice`` rows."""
+    keys = [("" if s is None else "=" + s, True) for s in symbols]
+    table = trades.sparkSession.createDataFrame(keys, f"{_SYMBOL_KEY} string, {_HOT} boolean")
+    marked = join_lookup(
+        trades.withColumn(_SYMBOL_KEY, _symbol_key()), table, [_SYMBOL_KEY], settings, "left", written=True
+    )
+    return marked.withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False))).drop(_SYMBOL_KEY)
+
+
+def hot_intervals(times: list[float]) -> list[float]:
+    """Borders, sorted: from an odd number of them on, an axis value is one of the ``times``."""
+    ends: list[float] = []
+    for t in sorted(times):
+        if ends and ends[-1] == t:
+            ends.pop()
+        else:
+            ends.append(t)
+        if t < _LAST:
+            ends.append(next_micro(t))
+    return ends
 
 
 @dataclass(frozen=True)
@@ -73,21 +103,17 @@ class Slices:
     id_borders: tuple[float, ...]
     hot_times: tuple[float, ...]
 
-    @property
-    def is_hot(self) -> Column:
-        return among(F.col("symbol"), self.hot_symbols)
-
-    def assign(self, trades: DataFrame) -> DataFrame:
-        """Add the slice number; slices follow the (time, id) order inside each symbol."""
+    def assign(self, trades: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
+        """Add the slice number and ``__hot``; slices follow the (time, id) order inside each symbol."""
         if not self.hot_symbols:
-            return trades.withColumn(SLICE, F.lit(0).cast("bigint"))
-        cut = axis_slice(_with_axes(trades), _TIME_AXIS, list(self.time_borders), _TIME_SLICE)
+            return trades.withColumns({SLICE: F.lit(0).cast("bigint"), _HOT: F.lit(False)})
+        cut = axis_slice(_with_axes(mark_hot(trades, self.hot_symbols, settings)), _TIME_AXIS, list(self.time_borders), _TIME_SLICE)
         cut = axis_slice(cut, _ID_AXIS, list(self.id_borders), _ID_SLICE)
-        in_hot_time = F.col(_TIME_AXIS).isin(*self.hot_times) if self.hot_times else F.lit(False)
+        cut = axis_slice(cut, _TIME_AXIS, hot_intervals(list(self.hot_times)), _HOT_TIME)
         width = len(self.id_borders) + 1
-        number = F.col(_TIME_SLICE) * width + F.when(in_hot_time, F.col(_ID_SLICE)).otherwise(0.0)
-        sliced = cut.withColumn(SLICE, F.when(self.is_hot, number).otherwise(0.0).cast("bigint"))
-        return sliced.drop(_TIME_AXIS, _ID_AXIS, _TIME_SLICE, _ID_SLICE)
+        number = F.col(_TIME_SLICE) * width + F.when(F.col(_HOT_TIME) % 2 == 1, F.col(_ID_SLICE)).otherwise(0.0)
+        sliced = cut.withColumn(SLICE, F.when(F.col(_HOT), number).otherwise(0.0).cast("bigint"))
+        return sliced.drop(_TIME_AXIS, _ID_AXIS, _TIME_SLICE, _ID_SLICE, _HOT_TIME)
 
 
 def _with_axes(trades: DataFrame) -> DataFrame:
@@ -103,29 +129,26 @@ def _with_axes(trades: DataFrame) -> DataFrame:
 def plan_slices(trades: DataFrame, settings: Settings = DEFAULTS) -> Slices:
     """Measure the table and decide the cuts.
 
-    Reads two or three key columns. A symbol is cut if it has more than ``rows_per_slice`` rows,
-    and more than the ``max_slices``-th part of the table. What reaches the driver is bounded: at
-    most ``max_slices`` symbols, and about as many borders per axis.
+    Reads two or three key columns. A symbol is cut if it has more than ``rows_per_slice`` rows.
+    What reaches the driver is at most one symbol, and about one border per axis, for so many rows.
     """
     counts = trades.groupBy("symbol").agg(F.count("*").alias("rows"))
-    part = counts.agg(F.sum("rows").alias("rows")).select(F.col("rows") / settings.max_slices)
-    too_many = F.greatest(F.lit(float(settings.rows_per_slice)), part.scalar())
-    hot = counts.filter(F.col("rows") > too_many).collect()
+    hot = counts.filter(F.col("rows") > settings.rows_per_slice).collect()
     if not hot:
         return Slices((), (), (), ())
     symbols = tuple(sorted((row["symbol"] for row in hot), key=lambda s: (s is not None, s or "")))
     rows = sum(row["rows"] for row in hot)
-    pieces = min(settings.max_slices, -(-rows // settings.rows_per_slice))
-    keys = _with_axes(
-        trades.filter(among(F.col("symbol"), symbols)).select("symbol", "trade_time", "trade_id")
-    )
+    pieces = -(-rows // settings.rows_per_slice)
+    keys = mark_hot(trades.select("symbol", "trade_time", "trade_id"), symbols, settings)
+    keys = _with_axes(keys.filter(F.col(_HOT)))
     sampled = sampled_borders(keys, _TIME_AXIS, rows, pieces, settings.slice_sample_rows)
     # A time that fills a whole slice repeats among the quantiles: cut it by id instead.
     hot_times = sorted({a for a, b in zip(sampled, sampled[1:]) if a == b})
     borders = sorted({*sampled, *(next_micro(t) for t in hot_times)})
     id_borders: list[float] = []
     if hot_times:
-        crowded = keys.filter(F.col(_TIME_AXIS).isin(*hot_times))
+        crowded = axis_slice(keys, _TIME_AXIS, hot_intervals(hot_times), _HOT_TIME)
+        crowded = crowded.filter(F.col(_HOT_TIME) % 2 == 1)
         id_borders = sampled_borders(crowded, _ID_AXIS, rows, pieces, settings.slice_sample_rows)
     return Slices(symbols, tuple(borders), tuple(sorted(set(id_borders))), tuple(hot_times))
 
@@ -166,17 +189,17 @@ def over_slices(
     numbered = slices.assign(with_tie(trades)).withColumns(
         {POSITION: F.row_number().over(window), "__size": F.count("*").over(whole)}
     )
-    is_head = slices.is_hot & (F.col(POSITION) <= reach)
+    is_head = F.col(_HOT) & (F.col(POSITION) <= reach)
     inside = add(numbered, window).filter(~is_head)
     # Rows next to a border, per symbol in order: for a slice's first rows, the rows just before
     # them are here without gaps, also across slices shorter than the reach.
     borders = numbered.filter(
-        slices.is_hot
+        F.col(_HOT)
         & ((F.col(POSITION) <= reach) | (F.col(POSITION) > F.col("__size") - reach))
     )
     along = Window.partitionBy("symbol").orderBy(SLICE, POSITION)
     heads = add(borders, along).filter(F.col(POSITION) <= reach)
-    helpers = (SLICE, POSITION, TIE, "__size")
+    helpers = (SLICE, POSITION, TIE, _HOT, "__size")
     return inside.drop(*helpers).unionByName(heads.drop(*helpers))
 
 

@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from helpers import same_rows, trade, trades_df
 from tapewright.config import DEFAULTS
+from tapewright.operators import slicing
 from tapewright.operators.rolling import ml_features, rolling_zscore
 from tapewright.operators.sampling import thin_series
 from tapewright.operators.slicing import (
     POSITION,
     SLICE,
     Slices,
+    hot_intervals,
     plan_slices,
+    sampled_borders,
     series_window,
     with_position,
 )
@@ -76,6 +79,44 @@ def test_slices_shorter_than_the_frame(trades):
     assert same_rows(rolling_zscore(trades, tiny), rolling_zscore(trades, slices=UNCUT))
 
 
+def test_hot_symbols_beyond_a_broadcast(trades):
+    salted = CUT.with_options(lookup_rows=0, salt_rows=50)
+    assert same_rows(rolling_zscore(trades, salted), rolling_zscore(trades, slices=UNCUT))
+
+
+def test_fifty_slices_of_many_hot_symbols(spark):
+    """Cut in 50, with hot symbols side by side and crowded instants next to each other."""
+    rng = random.Random(8)
+    rows = [trade(rng.choice([None, "", "=", "A", "B"]), i, 1.0 + i % 37, 2.0, rng.choice([3.0, 3.000001, 9.0]))
+            for i in range(1000)]
+    frame = trades_df(spark, rows)
+    fine = DEFAULTS.with_options(rows_per_slice=20)
+    slices = plan_slices(frame, fine)
+    assert len(slices.hot_symbols) == 5
+    assert slices.assign(frame).select("symbol", SLICE).distinct().count() >= 50
+    assert same_rows(with_position(frame, slices, total="n"), with_position(frame, UNCUT, total="n"))
+    assert same_rows(rolling_zscore(frame, fine), rolling_zscore(frame, slices=UNCUT))
+
+
+def test_ranks_by_range(spark, monkeypatch):
+    """A sample sorted by several tasks gives borders that cut evenly, and repeats of a crowded value."""
+    monkeypatch.setattr(slicing, "_SAMPLE_TASK_ROWS", 100)
+    values = [float(i) for i in range(2000)] + [700.5] * 1000
+    borders = sampled_borders(spark.createDataFrame([(v,) for v in values], "x double"), "x", 3000, 30, 100)
+    assert borders == sorted(borders) and borders.count(700.5) >= 9
+    edges = [float("-inf"), *sorted(set(borders)), float("inf")]
+    assert max(sum(a <= v < b for v in values if v != 700.5) for a, b in zip(edges, edges[1:])) <= 200
+
+
+def test_hot_intervals():
+    last = slicing._LAST
+    times = [5.0, 6.0, 9.0, last]
+    borders = hot_intervals(times)
+    assert borders == [5.0, 7.0, 9.0, 10.0, last]
+    for v in (4.0, 5.0, 6.0, 7.0, 9.0, 10.0, last):
+        assert (sum(b <= v for b in borders) % 2 == 1) == (v in times)
+
+
 def test_positions(trades):
     cut = with_position(trades, plan_slices(trades, CUT), total="n")
     plain = with_position(trades, UNCUT, total="n")
