@@ -8,12 +8,15 @@
    than a tenth.
 3. A small neural network learns a node's part from its vector.
 4. Every row goes to its most probable part. A query goes to its ``probes`` most probable parts, and
-   on until these hold enough rows. ``probes`` is the least number that finds ``aim`` of the sample's
-   true neighbours for sample nodes that the network has not seen.
+   on until these hold enough rows. ``probes`` is the least number with which sample nodes that the
+   network has not seen, asked as queries, find ``aim`` of their true nearest in the sample.
 5. Queries and rows of a part meet in cells of bounded size (large parts are split by a hash of the
    id, on both sides); each cell gives each query its best, and these are ranked by exact scores.
 
-The number of parts grows with the table, so that the work per query does not.
+A table of n rows has at least sqrt(n) / 8 parts, and as many that a part holds about ``rows_per_part``
+rows. Their number grows with the table up to ``most_parts``, which the network's sample bears; from
+there on parts grow, and the work per query with them. How many parts a query needs depends on the
+vectors: without any clusters it is most of them.
 
 Defined results: vectors that are null, empty, zero, of another length than most, or hold null or
 non-finite components take no part, nor do rows without an id; equal scores rank by smaller id; rows
@@ -66,6 +69,18 @@ def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def query_neighbours(x: np.ndarray, asked: np.ndarray, k: int) -> np.ndarray:
+    """The k rows other than itself with the largest inner product, of each row in the mask ``asked``."""
+    nodes = np.flatnonzero(asked)
+    out = np.empty((len(nodes), min(k, len(x) - 1)), np.int64)
+    for lo in range(0, len(nodes), 1024):
+        part = nodes[lo : lo + 1024]
+        scores = x[part] @ x.T
+        scores[np.arange(len(part)), part] = -np.inf
+        out[lo : lo + 1024] = np.argpartition(-scores, out.shape[1] - 1, axis=1)[:, : out.shape[1]]
+    return out
+
+
 def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 12, slack: float = 1.1) -> np.ndarray:
     """A part for each node: few edges between parts, and no part over its share times ``slack``."""
     rng = np.random.default_rng(3)
@@ -170,7 +185,7 @@ def learn(x: np.ndarray, length: float, parts: int, k: int, aim: float) -> Route
     order = np.argsort(-router.scores(router.lift(x[unseen], True)), axis=1)
     rank = np.empty_like(order)
     np.put_along_axis(rank, order, np.arange(parts)[None, :].repeat(len(order), 0), axis=1)
-    needed = np.take_along_axis(rank, placed[graph[unseen]], axis=1).ravel()
+    needed = np.take_along_axis(rank, placed[query_neighbours(x, unseen, k)], axis=1).ravel()
     found = np.cumsum(np.bincount(needed, minlength=parts)) / len(needed)
     router.probes = int(np.searchsorted(found, aim) + 1)
     return router
@@ -192,7 +207,8 @@ def nearest(
     drawn = rows.where(draw < min(1 << 30, max(1, sample * (1 << 30) // n))).orderBy("vec_id").toArrow()
     if drawn.num_rows < 2:
         drawn = rows.limit(2).toArrow()
-    router = learn(_matrix(drawn, "vector"), size["length"], min(most_parts, -(-n // rows_per_part)), k, aim)
+    parts = min(most_parts, max(-(-n // rows_per_part), int(np.ceil(np.sqrt(n) / 8))))
+    router = learn(_matrix(drawn, "vector"), size["length"], parts, k, aim)
     model = spark.sparkContext.broadcast(router)
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:

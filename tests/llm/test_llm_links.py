@@ -256,6 +256,26 @@ def test_neighbours_and_recall(spark):
         assert found == sorted(found, key=lambda f: (-f[1], f[0]))
 
 
+def test_recall_of_the_registered_call(spark, monkeypatch):
+    """Vectors without clusters, default parameters, several parts."""
+    made, learn = [], ann.learn
+
+    def kept(*args):
+        made.append(learn(*args))
+        return made[-1]
+
+    monkeypatch.setattr(ann, "learn", kept)
+    x = np.random.default_rng(4).normal(size=(3000, 8))
+    rows = list(enumerate((x / np.linalg.norm(x, axis=1, keepdims=True)).tolist()))
+    want = brute_neighbours(rows, 20)
+    got = {}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in ann.nearest(df, lambda v: v % 20 == 0).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert np.mean([len(got[q] & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
+    assert 1 <= made[0].probes < len(made[0].weights[3]) == 7
+
+
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 1.0]), (20, [0.5, 0.0])], "vec_id long, embedding array<float>")
     rows = {(r["query_id"], r["rank"]): r["vec_id"] for r in ann.nearest(df, lambda v: v % 20 == 0).collect()}
