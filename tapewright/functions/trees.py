@@ -56,26 +56,42 @@ def fit_tree(points: np.ndarray, depth: int, rng: np.random.Generator):
     return feature, threshold, path
 
 
-def mean_paths(points: np.ndarray, feature, threshold, path, block: int = 256) -> np.ndarray:
-    """Mean path length of each point over all trees; arrays are (trees, nodes)."""
+def mean_paths(points: np.ndarray, feature, threshold, path, block: int = 128) -> np.ndarray:
+    """Mean path length of each point over all trees; arrays are (trees, nodes).
+
+    The nodes of a level stand tree by tree, so a node's children are twice its place and the next
+    one. Places are of the width that ``take`` wants, and buffers are used again.
+    """
     trees, inner = feature.shape
     depth = (inner + 1).bit_length() - 1
-    node_base = np.arange(trees, dtype=np.int32) * inner
-    leaf_base = np.arange(trees, dtype=np.int32) * (inner + 1)
-    feature, threshold, path = feature.ravel(), threshold.ravel(), path.ravel()
+    levels = [slice(2**d - 1, 2 ** (d + 1) - 1) for d in range(depth)]
+    features = [feature[:, of].astype(np.intp).ravel() for of in levels]
+    thresholds = [np.ascontiguousarray(threshold[:, of]).ravel() for of in levels]
+    path = path.ravel()
+    points = np.ascontiguousarray(points)
+    size = block, trees
+    place, at = np.empty(size, np.intp), np.empty(size, np.intp)
+    x, cut, upper = np.empty(size, points.dtype), np.empty(size, threshold.dtype), np.empty(size, bool)
+    leaf = np.empty(size, path.dtype)
     means = np.empty(len(points))
     for start in range(0, len(points), block):
-        part = np.ascontiguousarray(points[start : start + block])
-        row_base = (np.arange(len(part), dtype=np.int32) * part.shape[1])[:, None]
+        part = points[start : start + block]
+        n = len(part)
+        row_base = (np.arange(n) * part.shape[1])[:, None]
         values = part.ravel()
-        node = np.zeros((len(part), trees), dtype=np.int32)
-        for _ in range(depth):
-            at = node + node_base
-            x = values.take(row_base + feature.take(at))
-            node = 2 * node + 1 + (x > threshold.take(at))
-        means[start : start + len(part)] = path.take(node - inner + leaf_base).mean(
-            axis=1, dtype=np.float64
-        )
+        node = place[:n]
+        node[:] = np.arange(trees)
+        # All places exist; "clip" spares a check and a copy.
+        for of, below in zip(features, thresholds, strict=True):
+            of.take(node, out=at[:n], mode="clip")
+            at[:n] += row_base
+            values.take(at[:n], out=x[:n], mode="clip")
+            below.take(node, out=cut[:n], mode="clip")
+            np.greater(x[:n], cut[:n], out=upper[:n])
+            node += node
+            node += upper[:n]
+        path.take(node, out=leaf[:n], mode="clip")
+        means[start : start + n] = leaf[:n].mean(axis=1, dtype=np.float64)
     return means
 
 

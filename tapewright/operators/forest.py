@@ -144,16 +144,17 @@ def score_rows(
     """Add ``raw_score``, null for symbols without a model.
 
     While all trees together stay below ``forest_broadcast_bytes`` they are shipped to the
-    executors and rows are scored in place. Beyond that, rows meet their symbol's trees by
+    executors, and rows are dealt out evenly for scoring: it takes much time per byte, and where rows
+    lie, a slice of a symbol is one task. Beyond that, rows meet their symbol's trees by
     co-grouping, in hash chunks of bounded size so that a hot symbol is spread over many tasks.
     """
     trees = forest.count()
     if forest_bytes(trees, settings) <= settings.forest_broadcast_bytes:
-        return _score_in_place(scaled, forest)
+        return _score_shipped(scaled.repartition(fit_partitions(scaled.sparkSession), *ROW_KEY), forest)
     return _score_cogrouped(scaled, forest, sizes, settings)
 
 
-def _score_in_place(scaled: DataFrame, forest: DataFrame) -> DataFrame:
+def _score_shipped(scaled: DataFrame, forest: DataFrame) -> DataFrame:
     collected = forest.toPandas()
     forests = {s: stacked(part) for s, part in collected.groupby("symbol")}
     shared = scaled.sparkSession.sparkContext.broadcast(forests)
@@ -247,14 +248,15 @@ def _fit(features: DataFrame, settings: Settings) -> tuple[ForestModel, DataFram
     scaled = with_scaled_features(features, moments, settings)
     trees = materialize(fit_forest(scaled, sizes, settings), "forest-trees")
     scored = materialize(score_rows(scaled, trees, sizes, settings), "forest-raw")
-    return ForestModel(moments, trees, score_thresholds(scored, settings)), scored
+    thresholds = materialize(score_thresholds(scored, settings), "forest-thresholds")
+    return ForestModel(moments, trees, thresholds), scored
 
 
-def _judged(scored: DataFrame, thresholds: DataFrame, columns: list[str], settings: Settings, written: bool) -> DataFrame:
-    """The given columns with score, flag and tag, from raw scores and thresholds."""
+def _judged(scored: DataFrame, thresholds: DataFrame, columns: list[str], settings: Settings) -> DataFrame:
+    """The given columns with score, flag and tag, from raw scores and written thresholds."""
     modelled = F.col("raw_score").isNotNull()
     score = F.when(modelled, F.col("raw_score") + F.col(_OFFSET)).otherwise(0.0)
-    return join_lookup(scored, thresholds, ["symbol"], settings, "left", written=written).select(
+    return join_lookup(scored, thresholds, ["symbol"], settings, "left", written=True).select(
         *[F.col(_RAW + c).alias(c) if c in FEATURES else F.col(c) for c in columns],
         score.alias("ml_anomaly_score"),
         (modelled & (score > 0)).alias("is_ml_anomaly"),
@@ -271,9 +273,16 @@ def iforest_scores(
     flagged. Symbols below ``forest_min_rows`` get score 0, no flag and no model. Features, moments,
     trees and raw scores feed several consumers each, so they are written once to the shared folder.
     """
+    return fit_and_score(trades, settings, slices)[1]
+
+
+def fit_and_score(
+    trades: DataFrame, settings: Settings = DEFAULTS, slices: Slices | None = None
+) -> tuple[ForestModel, DataFrame]:
+    """The model of a batch run, to keep, and what ``iforest_scores`` gives, from one fit."""
     features = materialize(ml_features(trades, settings, slices), "forest-features")
     model, scored = _fit(features, settings)
-    return _judged(scored, model.thresholds, features.columns, settings, written=False)
+    return model, _judged(scored, model.thresholds, features.columns, settings)
 
 
 def fit_model(trades: DataFrame, settings: Settings = DEFAULTS) -> ForestModel:
@@ -302,4 +311,4 @@ def apply_model(features: DataFrame, model: ForestModel, settings: Settings = DE
     sizes = symbol_sizes(model.moments, settings)
     scaled = with_scaled_features(features, model.moments, settings, "left")
     scored = score_rows(scaled, model.trees, sizes, settings)
-    return _judged(scored, model.thresholds, features.columns, settings, written=True)
+    return _judged(scored, model.thresholds, features.columns, settings)

@@ -137,7 +137,8 @@ def live_forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades scored live by a kept forest, and whether a batch run gives them the same score."""
     given = valid(spark, sf_dir)
     model_path, inbox, out = (scratch_path(spark, n) for n in ("forest-model", "live-inbox", "live-scores"))
-    forest.save_model(forest.fit_model(given), model_path)
+    model, batch = forest.fit_and_score(given)
+    forest.save_model(model, model_path)
     session = stream_session(spark)
     instants = as_instant(given, "trade_time")
     for first, last in zip(DELIVERIES, DELIVERIES[1:]):  # as they would arrive; the job starts anew for each
@@ -146,7 +147,7 @@ def live_forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream = table_stream(session, inbox, instants.schema)
         start_live_scores(stream, model_path, out, f"{out}-checkpoint", available_now=True).awaitTermination()
     live = as_wall_clock(read_live_scores(spark, out), "trade_time").select("symbol", "trade_id", "trade_time", "ml_anomaly_score", "is_ml_anomaly")
-    batch = forest.iforest_scores(given).select("trade_id", F.col("ml_anomaly_score").alias("score"), F.col("is_ml_anomaly").alias("flag"))
+    batch = batch.select("trade_id", F.col("ml_anomaly_score").alias("score"), F.col("is_ml_anomaly").alias("flag"))
     same = (F.abs(F.col("score") - F.col("ml_anomaly_score")) < 1e-9) & (F.col("flag") == F.col("is_ml_anomaly"))
     return live.join(batch, "trade_id", "left").select("symbol", "trade_id", "trade_time", F.coalesce(same, F.lit(False)).alias("as_in_batch"))
 

@@ -16,6 +16,7 @@ from tapewright.operators.quantiles import (
     sketch_size,
     sketched_quantiles,
 )
+from tapewright.plans import documents
 from tapewright.sources.storage import list_names
 from tapewright.streaming.scoring import read_live_scores, score_batch, start_live_scores
 
@@ -134,3 +135,18 @@ def test_no_sketch_is_that_exact():
     assert 290 < sketch_size(0.0133) < 315 and sketch_size(0.9) == 8
     with pytest.raises(ValueError, match="the least is"):
         sketch_size(1e-6)
+
+
+def test_one_slice_is_scored_by_several_tasks(spark, given, model_path):
+    model = forest.load_model(spark, model_path)
+    features = forest.ml_features(given, SMALL).coalesce(1)
+    scored = forest.apply_model(features, model, SMALL).withColumn("task", F.spark_partition_id())
+    assert scored.where("ml_model is not null").select("task").distinct().count() > 1
+
+
+def test_the_query_fits_one_forest(spark, small_sf, monkeypatch):
+    fitted, fit = [], forest.fit_forest
+    monkeypatch.setattr(forest, "fit_forest", lambda *args: fitted.append(1) or fit(*args))
+    found = documents.live_forest_scores(spark, small_sf)
+    assert found.where("as_in_batch").count() == found.count() > 0
+    assert len(fitted) == 1
