@@ -10,7 +10,7 @@ pytest.importorskip("public_tokenizers")
 import public_tokenizers  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tapewright.llm import bpecount, idcodec, packing, ppm, ring  # noqa: E402
+from tapewright.llm import bpecount, idcodec, packing, ppm, ring, tokens  # noqa: E402
 from tapewright.llm.tokens import ChunkEncoder  # noqa: E402
 
 ODD = [
@@ -319,3 +319,28 @@ def test_one_more_shard_moves_few_rows(spark):
     b = {r["doc_id"]: r["shard"] for r in ring.ring_shards(docs, 17).collect()}
     moved = sum(a[i] != b[i] for i in a) / len(a)
     assert 1 / 17 <= moved < 0.35  # a modulus would move 16 of 17
+
+
+def test_a_full_cache_is_not_read_as_a_whole():
+    class Counted(dict):
+        walks = 0
+
+        def __iter__(self):
+            Counted.walks += 1
+            return super().__iter__()
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = tokens.ChunkEncoder(path, capacity=200)
+    own.former = Counted({w: own._ids([" " + w])[0] for w in ("alpha", "beta")})
+    texts = ["alpha gamma\tbeta\n alpha", "", "delta", " "]
+    assert own.encode(texts) == own._ids(texts)
+    assert Counted.walks == 0
+
+
+def test_words_of_many_texts_split_in_one_go(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [f"Word{i % 97} and{i % 89}, the\r\nrest {'é' * (i % 5)}  {i}" for i in range(3000)] + [""]
+    monkeypatch.setattr(tokens, "_SPLIT", 5_000)
+    own = tokens.ChunkEncoder(path, capacity=900)
+    assert own.encode(texts) == own._ids(texts)
+    assert own.encode([]) == []
