@@ -17,9 +17,11 @@ group members are compared with one leader per round. Verified links make compon
 that are still in several components are looked at again, at last pair by pair across components.
 
 Before any text is moved, pairs pass a map: each set has the parity of its shingles' counts in MAP * 64
-buckets. Buckets of different parity hold at least one shingle that only one of two sets has, so as
+buckets, or twice as many for each doubling of its size beyond MAP_ITEMS. The parities of two buckets
+added up are that of both, so the larger map of a pair is folded to the size of the other one.
+Buckets of different parity hold at least one shingle that only one of two sets has, so as
 many as these are more than the differences that similar sets may have, the pair is none. The test
-loses no link; of sets up to some thousand shingles it lets little pass that the exact one does not.
+loses no link; it lets little pass that the exact one does not, whatever the sets' sizes.
 
 Defined results: a text with fewer words is one shingle; without words or text the set is empty and
 linked with nothing, and the row is its own component. Rows without an id keep null as component.
@@ -41,8 +43,9 @@ from tapewright.operators.joins import join_lookup
 
 SPARE = 1
 CHOICES = 3
-#: 64-bit words of a set's parity map.
+#: 64-bit words of the parity map of a set up to MAP_ITEMS.
 MAP = 32
+MAP_ITEMS = 1_500
 #: Members of a signature's group that one task compares with its smallest at most.
 FOLLOWERS = 4_096
 #: Rounds with one leader per group, as ``_links`` tells.
@@ -186,12 +189,28 @@ class Signer:
         return found[~empty.ravel()]
 
 
+def map_words(size: int) -> int:
+    """Words of the parity map of a set: MAP times a power of two."""
+    return MAP << max(0, (size - 1) // MAP_ITEMS).bit_length()
+
+
 def parity_map(items: np.ndarray) -> np.ndarray:
-    """MAP words: whether an odd number of items falls into each of the buckets."""
-    odd = np.bincount((items >> np.uint64(20)).astype(np.int64) & (64 * MAP - 1), minlength=64 * MAP) & 1
+    """Whether an odd number of items falls into each of the buckets, as words."""
+    buckets = 64 * map_words(len(items))
+    odd = np.bincount((items >> np.uint64(20)).astype(np.int64) & (buckets - 1), minlength=buckets) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
+def folded(words: Column, size: Column) -> Column:
+    """A parity map brought down to ``size`` words, a power of two."""
+    pieces = F.sequence(F.lit(0), F.size(words).cast("int") - size, size)
+    whole = F.aggregate(
+        pieces, F.array_repeat(F.lit(0).cast("long"), size),
+        lambda sums, at: F.zip_with(sums, F.slice(words, at + 1, size), lambda x, y: x.bitwiseXOR(y)),
+    )
+    return F.when(F.size(words) > size, whole).otherwise(words)
+
+
 def shingle_summary(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, two fingerprints and the parity map of the set, for all rows of (doc_id, text)."""
 
@@ -204,12 +223,13 @@ def shingle_summary(docs: DataFrame, words: int) -> DataFrame:
                 two.append(mix(items, 12).sum(dtype=np.uint64))
                 maps.append(parity_map(items))
         flat = pa.array(np.concatenate(maps) if maps else np.zeros(0, np.int64))
+        ends = np.cumsum([0, *map(len, maps)], dtype=np.int32)
         return pa.record_batch(
             {
                 "doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
                 "f1": pa.array(np.array(one, np.uint64).astype(np.int64)),
                 "f2": pa.array(np.array(two, np.uint64).astype(np.int64)),
-                "map": pa.ListArray.from_arrays(np.arange(0, MAP * len(sizes) + 1, MAP, dtype=np.int32), flat),
+                "map": pa.ListArray.from_arrays(ends, flat),
             }
         )
 
@@ -218,9 +238,9 @@ def shingle_summary(docs: DataFrame, words: int) -> DataFrame:
 
 def may_link(percent: int) -> Column:
     """Whether the maps of two sets (a_map, a_n, b_map, b_n) leave it open that they are similar."""
-    unlike = F.aggregate(
-        F.zip_with("a_map", "b_map", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n
-    )
+    size = F.least(F.size("a_map"), F.size("b_map"))
+    both = (folded(F.col(c), size) for c in ("a_map", "b_map"))
+    unlike = F.aggregate(F.zip_with(*both, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
     larger, smaller = F.greatest("a_n", "b_n"), F.least("a_n", "b_n")
     every = F.col("a_n") + F.col("b_n")
     return (100 * smaller >= percent * larger) & ((100 + percent) * unlike <= (100 - percent) * every)
@@ -406,7 +426,9 @@ def _links(docs: DataFrame, members: DataFrame, maps: DataFrame, words: int, per
         nodes = materialize(components(_union(found)), "nodes")
         degrees = materialize(_degrees(_union(found)), "degrees")
         members = met.drop("a")
-    named = _open_groups(_labelled(members, nodes)).join(maps, "doc_id")
+    # Members repeat their map in every group, so the smallest form of it; pairs get the whole one below.
+    small = maps.withColumn("map", folded(F.col("map"), F.lit(MAP)))
+    named = _open_groups(_labelled(members, nodes)).join(small, "doc_id")
     named = materialize(named.withColumnRenamed("n_shingles", "n"), "open")
     ends = [
         named.select("grp", F.col("doc_id").alias(e), *(F.col(c).alias(f"{e}_{c}") for c in ("own", "component", "n", "map")))
@@ -416,7 +438,7 @@ def _links(docs: DataFrame, members: DataFrame, maps: DataFrame, words: int, per
     across = ends[0].join(ends[1], "grp").where(rule & may_link(percent)).groupBy("a", "b")
     odd = F.max(F.col("grp").bitwiseAND(F.lit(1)))
     rest = across.agg((F.count("*") + odd).alias("n")).where("n >= 3").select("a", "b")
-    rest = materialize(rest, "rest")
+    rest = materialize(_possible(materialize(rest, "rest"), maps, percent), "pairs")
     found.append(materialize(_compared(docs, rest, words, percent), "links"))
     return _union(found)
 
