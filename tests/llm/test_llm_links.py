@@ -518,3 +518,27 @@ def test_training_learns_the_rules():
 ])
 def test_nothing_of_an_article_is_dropped(page, text):
     assert mincut.main_text(page, np.zeros(mincut.FEATURES)) == text
+
+
+def test_maps_of_large_sets_tell_unlike_ones_apart(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for size, other, shared in ((6_000, 6_000, 0), (9_000, 9_000, 4_500), (1_400, 1_600, 1_390), (2_950, 3_050, 2_900), (6_100, 7_000, 6_090)):
+        pool = rng.integers(1, 1 << 63, size + other, dtype=np.uint64)
+        a, b = pool[:size], np.concatenate([pool[:shared], pool[size : size + other - shared]])
+        similar = 100 * shared >= 80 * (size + other - shared)
+        rows.append((similar, partenum.parity_map(a).tolist(), size, partenum.parity_map(b).tolist(), other))
+        rows.append((similar, *rows[-1][3:], *rows[-1][1:3]))
+    frame = spark.createDataFrame(rows, "similar boolean, a_map array<long>, a_n int, b_map array<long>, b_n int")
+    found = frame.select("similar", partenum.may_link(80).alias("may")).collect()
+    assert [r["may"] for r in found] == [r["similar"] for r in found]
+    assert {r["similar"] for r in found} == {False, True}
+
+
+def test_settled_links_take_one_round(spark, monkeypatch):
+    rounds, write = [], components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, label: rounds.append(label) or write(df, label))
+    edges = spark.createDataFrame([(1, 5), (1, 7), (9, 1), (20, 21)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components.components(edges).collect()}
+    assert got == {1: 1, 5: 1, 7: 1, 9: 1, 20: 20, 21: 20}
+    assert rounds.count("stars") == 1
