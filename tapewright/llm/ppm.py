@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.common import column, in_batches, letters, ship, sub_batches, utf8
+from tapewright.llm.common import column, forget, in_batches, letters, ship, sub_batches, utf8
 
 ORDER = 4
 UNKNOWN = "und"
@@ -64,6 +64,7 @@ def _windows(data: np.ndarray) -> np.ndarray:
 
 
 def _count_windows(batch: pa.RecordBatch) -> pa.RecordBatch:
+    forget()
     return pa.concat_batches([_counted(part) for part in sub_batches(batch)])
 
 
@@ -249,6 +250,7 @@ def predict(docs: DataFrame, trees: Trees, text: str = "text", carry: tuple[str,
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[f"`{c}`" for c in carry]).schema)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        forget()
         model = shared.value.hashed()
         known = np.array(batch.column("__letters").to_pylist(), bool) & bool(model.langs)
         langs, scores, bits = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows), np.zeros(batch.num_rows)

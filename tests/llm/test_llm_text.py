@@ -10,7 +10,7 @@ pytest.importorskip("public_tokenizers")
 import public_tokenizers  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-from tapewright.llm import bpecount, idcodec, packing, ppm, ring, tokens  # noqa: E402
+from tapewright.llm import bpecount, common, idcodec, packing, ppm, ring, tokens  # noqa: E402
 from tapewright.llm.tokens import ChunkEncoder  # noqa: E402
 
 ODD = [
@@ -179,6 +179,28 @@ def test_predictable_ids_take_little_room():
     assert len(idcodec.write_segment([1], [pattern.tobytes()], 50_000)) < 0.2 * pattern.nbytes
 
 
+def test_order_0_is_as_narrow_as_blocks_allow():
+    model = idcodec._Model(320, 1_000, idcodec.BLOCK)
+    assert model.counts.itemsize + model.cumulated.itemsize <= 6
+    wide = idcodec._Model(320, 1_000, 1 << 22)
+    assert wide.counts.itemsize >= 4 and wide.cumulated.itemsize == 8
+    ids = np.random.default_rng(2).integers(0, 40, (3 * idcodec._COUNTED + 5, 2))
+    model.add(ids, 2)
+    model.refresh()
+    for lane in range(2):
+        counts = np.bincount(ids[:, lane], minlength=1_000)
+        assert np.array_equal(model.counts[lane], counts)
+        ends = np.cumsum(counts * idcodec._GAIN + 1)
+        assert np.array_equal(model.cumulated[lane, 1:] - (lane << model.shift), ends) and model.total[lane] == ends[-1]
+
+
+def test_a_worker_forgets_what_it_kept():
+    assert common.worker("some", lambda: 1) == common.worker("some", lambda: 2) == 1
+    common.forget()
+    assert common.worker("some", lambda: 3) == 3
+    common.forget()
+
+
 def test_files_hold_all_ids_in_order(odd):
     from tokenizers import Tokenizer
 
