@@ -14,7 +14,8 @@ that have one, or with a part that is empty altogether.
 
 What shares a signature is not paired off: equal sets are one class beforehand, and in a signature's
 group members are compared with one leader per round. Verified links make components; only groups
-that are still in several components are looked at again, at last pair by pair across components.
+that are still in several components are looked at again, at last across components: pair by pair where
+that is DIRECT pairs a member at most, else by what is unusual in a member (``_near_families``).
 
 Before any text is moved, pairs pass a map: each set has the parity of its shingles' counts in MAP * 64
 buckets, or twice as many for each doubling of its size beyond MAP_ITEMS. The parities of two buckets
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tapewright.llm.common import ID_ROWS, anti_join, column, in_batches, materialize, ship, sub_batches, utf8
+from tapewright.llm.common import ID_ROWS, anti_join, column, forget, in_batches, materialize, ship, sub_batches, utf8
 from tapewright.llm.components import components
 from tapewright.operators.joins import join_lookup
 
@@ -50,7 +51,13 @@ MAP_ITEMS = 1_500
 FOLLOWERS = 4_096
 #: Rounds with one leader per group, as ``_links`` tells.
 ROUNDS = 3
+#: Pairs across components per member of a group, up to which they are met one by one.
+DIRECT = 8
+#: Buckets in common that differ within a step of members, as ``_near_families`` tells.
+STEP = 4
 _BLOCK = 1 << 20
+#: Bytes of text that a task takes at a time; word hashes need some 60 bytes for each.
+TEXT = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -215,8 +222,9 @@ def shingle_summary(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, two fingerprints and the parity map of the set, for all rows of (doc_id, text)."""
 
     def summary(batch: pa.RecordBatch) -> pa.RecordBatch:
+        forget()
         sizes, one, two, maps = [], [], [], []
-        for part in sub_batches(batch):
+        for part in sub_batches(batch, TEXT):
             for items in shingle_sets(*utf8(part), words):
                 sizes.append(len(items))
                 one.append(mix(items, 11).sum(dtype=np.uint64))
@@ -250,9 +258,10 @@ def signature_rows(docs: DataFrame, words: int, percent: int, seed: int = 0) ->
     """sig, doc_id: all signatures of (doc_id, text); the last bit is no part of the name."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         signer = Signer(percent, seed)
         for batch in batches:
-            for part in sub_batches(batch):
+            for part in sub_batches(batch, TEXT):
                 found = [signer.signatures(s) for s in shingle_sets(*utf8(part), words)]
                 ids = np.array(part.column("doc_id").to_pylist(), np.int64)
                 yield pa.record_batch(
@@ -274,6 +283,7 @@ def _shared_groups(signatures: DataFrame) -> DataFrame:
     def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        forget()
         number = TaskContext.get().partitionId() << 40  # short names, for smaller files
         name_now, doc_now, own_now, alone, fine = None, None, True, False, False
         for batch in batches:
@@ -333,9 +343,10 @@ def _compared(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Da
     met = docs.join(F.broadcast(wanted) if many <= ID_ROWS else wanted, "doc_id").select("a", "salt", "b", "text")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         lead_now, leads, following = None, [], False
         for batch in batches:
-            for part in sub_batches(batch):
+            for part in sub_batches(batch, TEXT):
                 a, b = part.column("a").to_pylist(), part.column("b").to_pylist()
                 keep = []
                 for i, own in enumerate(shingle_sets(*utf8(part), words)):
@@ -400,8 +411,8 @@ def _links(docs: DataFrame, members: DataFrame, maps: DataFrame, words: int, per
 
     In each round every open group has a leader, and its members are compared with it: as many pairs
     as members. Leaders are drawn by a hash, then are those with the most links so far, then those
-    without any. Groups within one component are done. What is left is compared pair by pair across
-    components, where the maps and the number of shared signatures do not rule it out.
+    without any. Groups within one component are done. What is left is compared across components, where
+    the maps and, pair by pair, the number of shared signatures do not rule it out.
 
     A pair is not tested that shares too few signatures. A part without a difference gives three, with
     one difference one, and empty choices are left out of one part at most. For even k the fewest are
@@ -426,10 +437,11 @@ def _links(docs: DataFrame, members: DataFrame, maps: DataFrame, words: int, per
         nodes = materialize(components(_union(found)), "nodes")
         degrees = materialize(_degrees(_union(found)), "degrees")
         members = met.drop("a")
+    left = materialize(_open_groups(_labelled(members, nodes, degrees)), "left")
+    near = materialize(_near_families(left.where("family IS NOT NULL"), maps, percent), "near")
     # Members repeat their map in every group, so the smallest form of it; pairs get the whole one below.
     small = maps.withColumn("map", folded(F.col("map"), F.lit(MAP)))
-    named = _open_groups(_labelled(members, nodes)).join(small, "doc_id")
-    named = materialize(named.withColumnRenamed("n_shingles", "n"), "open")
+    named = materialize(left.where("family IS NULL").join(small.withColumnRenamed("n_shingles", "n"), "doc_id"), "open")
     ends = [
         named.select("grp", F.col("doc_id").alias(e), *(F.col(c).alias(f"{e}_{c}") for c in ("own", "component", "n", "map")))
         for e in "ab"
@@ -437,7 +449,8 @@ def _links(docs: DataFrame, members: DataFrame, maps: DataFrame, words: int, per
     rule = (F.col("a_own") | F.col("b_own")) & (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
     across = ends[0].join(ends[1], "grp").where(rule & may_link(percent)).groupBy("a", "b")
     odd = F.max(F.col("grp").bitwiseAND(F.lit(1)))
-    rest = across.agg((F.count("*") + odd).alias("n")).where("n >= 3").select("a", "b")
+    # ``near`` has all pairs that share a group with a family; of others all shared groups are counted here.
+    rest = across.agg((F.count("*") + odd).alias("n")).where("n >= 3").select("a", "b").unionByName(near)
     rest = materialize(_possible(materialize(rest, "rest"), maps, percent), "pairs")
     found.append(materialize(_compared(docs, rest, words, percent), "links"))
     return _union(found)
@@ -456,9 +469,126 @@ def _degrees(links: DataFrame) -> DataFrame:
 
 
 def _open_groups(named: DataFrame) -> DataFrame:
-    """The members of groups with several components."""
-    split = named.groupBy("grp").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-    return named.join(split.select("grp"), "grp")
+    """The members of groups with several components.
+
+    ``family``: the component with the most linked member, where more than DIRECT pairs a member lie across components.
+    """
+    parts = named.groupBy("grp", "component").agg(F.count("*").alias("n"), F.max("degree").alias("degree"))
+    every, within = F.sum("n"), F.sum(F.col("n") * F.col("n"))
+    most = F.max(F.struct("degree", "component")).alias("most")
+    split = parts.groupBy("grp").agg(every.alias("n"), (every * every - within).alias("across"), most)
+    family = F.when(F.col("across") > 2 * DIRECT * F.col("n"), F.col("most.component")).alias("family")
+    return named.join(split.where("across > 0").select("grp", family), "grp")
+
+
+def _bits(words: pa.Scalar, size: int) -> np.ndarray:
+    """The bits of a parity map folded to ``size`` words."""
+    folded_ = np.bitwise_xor.reduce(words.values.to_numpy().reshape(-1, size))
+    return np.unpackbits(folded_.view(np.uint8), bitorder="little")
+
+
+def _usual(rows: DataFrame) -> DataFrame:
+    """family, ref, often: the buckets that are odd in most members' maps, and those in which several members differ from that."""
+
+    def tally(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sums: dict[int, np.ndarray] = {}
+        for family, words, size in zip(batch.column("family").to_pylist(), batch.column("map"), batch.column("words").to_pylist(), strict=True):
+            bits = _bits(words, size)
+            sums[family] = sums[family] + bits if family in sums else bits.astype(np.int64)
+        filled = [np.flatnonzero(x) for x in sums.values()]
+        return pa.record_batch(
+            {
+                "family": pa.array(np.repeat(np.array(list(sums), np.int64), list(map(len, filled)))),
+                "bit": pa.array(np.concatenate(filled)),
+                "many": pa.array(np.concatenate([x[at] for x, at in zip(sums.values(), filled, strict=True)])),
+            }
+        )
+
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: dict[str, list] = {"ref": [], "often": []}
+        for at, many, size, n in zip(*(batch.column(c) for c in ("at", "many", "words", "members")), strict=True):
+            counts, n = np.zeros(64 * size.as_py(), np.int64), n.as_py()
+            counts[at.values.to_numpy()] = many.values.to_numpy()
+            for name, bits in (("ref", 2 * counts > n), ("often", np.minimum(counts, n - counts) > max(2, n // 64))):
+                out[name].append(np.packbits(bits, bitorder="little").view(np.int64))
+        kind = pa.list_(pa.int64())
+        return pa.record_batch({"family": batch.column("family"), **{k: pa.array(v, kind) for k, v in out.items()}})
+
+    sizes = rows.groupBy("family").agg(F.first("words").alias("words"), F.count("*").alias("members"))
+    counts = in_batches(rows, tally, "family long, bit long, many long").groupBy("family", "bit").agg(F.sum("many").alias("many"))
+    # At most as many buckets as the family's smallest map has.
+    lists = counts.groupBy("family").agg(F.collect_list(F.struct("bit", "many")).alias("x"))
+    lists = lists.select("family", F.col("x.bit").alias("at"), F.col("x.many").alias("many")).join(sizes, "family")
+    return in_batches(lists, pack, "family long, ref array<long>, often array<long>")
+
+
+def _unlike(rows: DataFrame) -> DataFrame:
+    """``bits``: where a member's map differs from the usual one of its family, rare ones first."""
+
+    def differ(batch: pa.RecordBatch) -> pa.RecordBatch:
+        bits = []
+        size = batch.column("words").to_pylist()
+        for own, ref, often, n in zip(*(batch.column(c) for c in ("map", "ref", "often")), size, strict=True):
+            at = np.flatnonzero(_bits(own, n) ^ _bits(ref, n))
+            bits.append(at[np.argsort(_bits(often, n)[at], kind="stable")].astype(np.int32))
+        names = ["family", "doc_id", "component", "n"]
+        ends = np.cumsum([0, *map(len, bits)], dtype=np.int32)
+        flat = pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int32))
+        return pa.record_batch([*map(batch.column, names), pa.ListArray.from_arrays(ends, flat)], names=[*names, "bits"])
+
+    return in_batches(rows, differ, "family long, doc_id long, component long, n long, bits array<int>")
+
+
+def _near_families(left: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """a, b: all pairs of a family's members across components that their maps do not rule out, and few others.
+
+    Let D be the buckets in which a member's map differs from the family's usual one, and
+    e = (100 + percent) |D| - (100 - percent) n. The maps of two members differ in |Da| + |Db| - 2 |Da and Db|
+    buckets, so they leave a link open only if ea + eb <= 2 (100 + percent) |Da and Db|. Members that a large
+    component does not link have large D, so pairs need many buckets in common. Members are cut into steps of e.
+    With s as the fewest buckets that a partner of some step leaves, a member and a partner have one in
+    common among the first |D| - s + 1 of each, in any order that holds for both; rare ones come first. So
+    members meet under few buckets that few others have, not each with each, and what a member has left
+    after the bucket they meet in rules out more.
+    """
+    own = left.select("family", "doc_id", "component").distinct().join(maps.withColumnRenamed("n_shingles", "n"), "doc_id")
+    own = materialize(own, "own")
+    own = join_lookup(own, own.groupBy("family").agg(F.min(F.size("map")).alias("words")), ["family"])
+    each, twice = 100 - percent, 2 * (100 + percent)
+    width = twice * STEP
+    e = (100 + percent) * F.col("many") - each * F.col("n")
+    rows = _unlike(join_lookup(own, _usual(own), ["family"])).withColumn("many", F.size("bits")).withColumn("e", e)
+    rows = rows.withColumn("step", F.floor(F.col("e") / width)).withColumn("inside", F.col("component") == F.col("family"))
+    rows = materialize(rows, "unlike")
+    steps = rows.groupBy("family").agg(
+        F.collect_set(F.when(F.col("inside"), F.col("step"))).alias("within"),
+        F.collect_set(F.when(~F.col("inside"), F.col("step"))).alias("beyond"),
+    )
+    rows = join_lookup(rows, steps, ["family"])
+    outside = rows.where(~F.col("inside"))
+
+    def buckets(members: DataFrame, kind: Column, partners: str, end: str) -> DataFrame:
+        """A row for each bucket that a member may meet a partner in; -1 where they need none in common."""
+        met = members.withColumn("partner", F.explode(partners))
+        # As many buckets as they need, the partner has to have at all.
+        met = met.where(percent * (F.col("e") - (F.col("partner") + 1) * width) <= 200 * each * F.col("n"))
+        fewest = F.ceil((F.col("e") + F.col("partner") * width) / twice).cast("int")
+        begin = F.slice("bits", 1, F.greatest(F.col("many") - fewest + 1, F.lit(0)))
+        some = F.when(fewest > 0, begin).otherwise(F.concat("bits", F.array(F.lit(-1))))
+        met = met.select("*", kind.alias("kind"), F.posexplode(some).alias("at", "bit"))
+        rest = F.when(F.col("bit") < 0, F.lit(0)).otherwise(F.col("many") - F.col("at"))
+        names = {"doc_id": end, "component": f"{end}_component", "n": f"{end}_n", "e": f"{end}_e"}
+        names |= {"step": f"{end}_step", "partner": f"{'ab'[end == 'a']}_step"}
+        return met.select("family", "kind", "bit", *(F.col(k).alias(v) for k, v in names.items()), rest.alias(f"{end}_rest"))
+
+    # Kind 0: inside with outside; kind 1: outside with outside.
+    one = buckets(rows, (~F.col("inside")).cast("int"), "beyond", "a")
+    two = buckets(outside, F.lit(0), "within", "b").unionByName(buckets(outside, F.lit(1), "beyond", "b"))
+    rule = (F.col("kind") == 0) | ((F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component")))
+    sizes = 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    enough = F.col("a_e") + F.col("b_e") <= twice * F.least("a_rest", "b_rest")
+    met = one.join(two, ["family", "kind", "a_step", "b_step", "bit"]).where(rule & sizes & enough)
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _labelled(members: DataFrame, nodes: DataFrame | None, degrees: DataFrame | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 pytest.importorskip("public_tokenizers")
 
@@ -113,6 +114,40 @@ def test_components_with_small_limits(spark, monkeypatch):
     assert got == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
+def test_components_with_families_throughout(spark, monkeypatch, words, percent):
+    """No leaders, and no group is met pair by pair: the same result."""
+    monkeypatch.setattr(partenum, "DIRECT", -1)
+    monkeypatch.setattr(partenum, "_compared", lambda docs, pairs, *a, f=partenum._compared: f(docs, pairs.where("false") if not next(first) else pairs, *a))
+    first = iter([False] * partenum.ROUNDS + [True])
+    rows = family_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in partenum.similar_components(docs, words, percent).collect()}
+    assert got == brute_components(rows, words, percent)
+
+
+def test_members_of_a_family_are_not_met_each_with_each(spark):
+    draw = np.random.default_rng(12)
+    maps, left = [], []
+    for family, size in ((0, 150), (1000, 40), (2000, 9), (3000, 4_000)):
+        base = draw.integers(0, 1 << 63, size, dtype=np.uint64)
+        for i in range(300 if size == 150 else 60):
+            lost = draw.integers(0, max(2, size // 7))
+            kept = draw.permutation(base)[lost:]
+            own = np.unique(np.concatenate([kept, draw.integers(0, 1 << 63, draw.integers(0, lost + 2), dtype=np.uint64)]))
+            maps.append((family + i, len(own), parity := partenum.parity_map(own).tolist()))
+            left.append((family, family + i, family if i % 3 == 0 else family + i - i % 5 % 2))
+            assert len(parity) >= partenum.MAP
+    frame = spark.createDataFrame(maps, "doc_id long, n_shingles long, map array<long>")
+    members = spark.createDataFrame(left, "family long, doc_id long, component long")
+    got = {tuple(r) for r in partenum._near_families(members, frame, 85).collect()}
+    ends = [members.join(frame, "doc_id").select("family", *(F.col(k).alias(v) for k, v in (("doc_id", e), ("component", f"{e}_c"), ("n_shingles", f"{e}_n"), ("map", f"{e}_map")))) for e in "ab"]
+    across = ends[0].join(ends[1], "family").where("a < b and a_c <> b_c")
+    want = {tuple(r) for r in across.where(partenum.may_link(85)).select("a", "b").collect()}
+    assert want and want <= got
+    assert len({p for p in got if p[1] < 1000} - want) < 0.2 * across.where("b < 1000").count()
+
+
 def test_join_of_nothing_and_repeated_rows(spark):
     docs = spark.createDataFrame([(5, "a b c d e"), (5, "a b c d e"), (None, "a b c d e"), (3, "a b c d e")], "doc_id long, text string")
     got = sorted(map(tuple, partenum.similar_components(docs).collect()), key=str)
