@@ -15,7 +15,7 @@ that have one, or with a part that is empty altogether.
 What shares a signature is not paired off: equal sets are one class beforehand, and in a signature's
 group members are compared with one leader per round. Verified links make components; only groups
 that are still in several components are looked at again, at last across components: pair by pair where
-that is DIRECT pairs a member at most, else by what is unusual in a member (``_near_families``).
+that is DIRECT pairs a member at most (``_near_pairs``), else by what is unusual in a member (``_near_families``).
 
 Before any text is moved, pairs pass a map: each set has the parity of its shingles' counts in MAP * 64
 buckets, or twice as many for each doubling of its size beyond MAP_ITEMS. The parities of two buckets
@@ -51,11 +51,17 @@ MAP_ITEMS = 1_500
 FOLLOWERS = 4_096
 #: Rounds with one leader per group, as ``_links`` tells.
 ROUNDS = 3
-#: Pairs across components per member of a group, up to which they are met one by one.
-DIRECT = 8
+#: Pairs across components per member of a group, up to which they are met one by one: their maps are
+#: compared at eight to a hundred million pairs a second, while a family's member takes some thousand rows of a join.
+DIRECT = 32_768
 #: Buckets in common that differ within a step of members, as ``_near_families`` tells.
 STEP = 4
 _BLOCK = 1 << 20
+#: Pairs that are compared at a time within groups, and words of the maps that are compared first.
+_PAIRS = 1 << 15
+FOLD = 8
+#: Members of a group from which all are laid beside each other.
+BESIDE = 32
 #: Bytes of text that a task takes at a time; word hashes need some 60 bytes for each.
 TEXT = 1 << 20
 
@@ -439,15 +445,7 @@ def _links(docs: DataFrame, members: DataFrame, maps: DataFrame, words: int, per
         members = met.drop("a")
     left = materialize(_open_groups(_labelled(members, nodes, degrees)), "left")
     near = materialize(_near_families(left.where("family IS NOT NULL"), maps, percent), "near")
-    # Members repeat their map in every group, so the smallest form of it; pairs get the whole one below.
-    small = maps.withColumn("map", folded(F.col("map"), F.lit(MAP)))
-    named = materialize(left.where("family IS NULL").join(small.withColumnRenamed("n_shingles", "n"), "doc_id"), "open")
-    ends = [
-        named.select("grp", F.col("doc_id").alias(e), *(F.col(c).alias(f"{e}_{c}") for c in ("own", "component", "n", "map")))
-        for e in "ab"
-    ]
-    rule = (F.col("a_own") | F.col("b_own")) & (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
-    across = ends[0].join(ends[1], "grp").where(rule & may_link(percent)).groupBy("a", "b")
+    across = _near_pairs(left.where("family IS NULL"), maps, percent).groupBy("a", "b")
     odd = F.max(F.col("grp").bitwiseAND(F.lit(1)))
     # ``near`` has all pairs that share a group with a family; of others all shared groups are counted here.
     rest = across.agg((F.count("*") + odd).alias("n")).where("n >= 3").select("a", "b").unionByName(near)
@@ -481,6 +479,83 @@ def _open_groups(named: DataFrame) -> DataFrame:
     return named.join(split.where("across > 0").select("grp", family), "grp")
 
 
+def _pairs_within(ends: np.ndarray, component: np.ndarray, n: np.ndarray, own: np.ndarray, maps: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions of the pairs across components that their maps leave open, in the groups of rows before each of ``ends``."""
+    few = np.bitwise_xor.reduce(maps.reshape(len(maps), -1, FOLD), axis=1)
+
+    def left_open(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        open_ = (component[a] != component[b]) & (own[a] | own[b])
+        open_ &= 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
+        a, b = a[open_], b[open_]
+        for words in (few, maps):
+            unlike = np.bitwise_count(words[a] ^ words[b]).sum(axis=1, dtype=np.int64)
+            open_ = (100 + percent) * unlike <= (100 - percent) * (n[a] + n[b])
+            a, b = a[open_], b[open_]
+        return a, b
+
+    begins = np.concatenate([[0], ends[:-1]])
+    large = ends - begins > BESIDE
+    for begin, end in zip(begins[large].tolist(), ends[large].tolist(), strict=True):
+        most = (100 - percent) * (n[begin:end] + n[begin:end].max()) // (100 + percent)
+        columns = np.ascontiguousarray(few[begin:end].T)
+        at, size = 0, end - begin
+        while at < size:
+            to = min(size, at + max(1, _PAIRS // (size - at)))
+            unlike = np.zeros((to - at, size - at), np.uint16)
+            for words in columns:
+                unlike += np.bitwise_count(words[at:to, None] ^ words[None, at:])
+            a, b = np.nonzero(unlike <= np.minimum(most[at:to], 64 * FOLD).astype(np.uint16)[:, None])
+            yield left_open(begin + at + a[a < b], begin + at + b[a < b])
+            at = to
+    # A row of a small group meets the rows behind it.
+    rows = np.arange(len(n))
+    behind = np.repeat(np.where(large, 0, ends), ends - begins) - rows - 1
+    rows, behind = rows[behind > 0], behind[behind > 0]
+    sums = np.cumsum(behind)
+    at = 0
+    while at < len(rows):
+        met = sums[at] - behind[at]
+        to = max(at + 1, int(np.searchsorted(sums, met + _PAIRS, side="right")))
+        a = np.repeat(rows[at:to], behind[at:to])
+        b = a + 1 + np.arange(len(a)) - np.repeat(sums[at:to] - behind[at:to] - met, behind[at:to])
+        yield left_open(a, b)
+        at = to
+
+
+def _near_pairs(left: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """grp, a, b: the pairs of each group across components that their maps do not rule out. a is the smaller id."""
+
+    def pairs(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        grp, doc, component, n, own = (rows.column(c).to_numpy() for c in ("grp", "doc_id", "component", "n", "own"))
+        words = pa.concat_arrays(rows.column("map").chunks).flatten().to_numpy().view(np.uint64).reshape(len(doc), MAP)
+        ends = np.append(np.flatnonzero(grp[1:] != grp[:-1]) + 1, len(grp))
+        for a, b in _pairs_within(ends, component, n, own, words, percent):
+            if len(a):
+                yield pa.record_batch({"grp": pa.array(grp[a]), "a": pa.array(doc[a]), "b": pa.array(doc[b])})
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            grp = batch.column("grp").to_numpy()
+            last = int(np.searchsorted(grp, grp[-1])) if len(grp) else 0
+            if last or held and len(grp) and held[-1].column("grp")[-1].as_py() != grp[0]:
+                yield from pairs([*held, batch.slice(0, last)])
+                held = []
+            if len(grp):
+                held.append(batch.slice(last))
+        if held:
+            yield from pairs(held)
+
+    # Members repeat their map in every group, so the smallest form of it; pairs get the whole one later.
+    small = maps.select("doc_id", F.col("n_shingles").alias("n"), folded(F.col("map"), F.lit(MAP)).alias("map"))
+    named = left.join(small, "doc_id").select("grp", "doc_id", "own", "component", "n", "map")
+    # In the order of ids: those that are one id are one component.
+    sorted_ = named.repartition("grp").sortWithinPartitions("grp", "doc_id")
+    return sorted_.mapInArrow(met, "grp long, a long, b long")
+
+
 def _bits(words: pa.Scalar, size: int) -> np.ndarray:
     """The bits of a parity map folded to ``size`` words."""
     folded_ = np.bitwise_xor.reduce(words.values.to_numpy().reshape(-1, size))

@@ -148,6 +148,65 @@ def test_members_of_a_family_are_not_met_each_with_each(spark):
     assert len({p for p in got if p[1] < 1000} - want) < 0.2 * across.where("b < 1000").count()
 
 
+def test_pairs_within_groups_equal_the_test_of_each_pair(monkeypatch):
+    draw = np.random.default_rng(11)
+    monkeypatch.setattr(partenum, "_PAIRS", 500)
+    for largest, percent in ((3, 80), (12, 85), (150, 80), (150, 85)):
+        ends = np.cumsum(draw.integers(1, largest, 20))
+        base = draw.integers(0, 2**63, (6, 400), dtype=np.uint64)
+        sets = []
+        for _ in range(ends[-1]):
+            more = draw.integers(0, 2**63, draw.integers(60), dtype=np.uint64)
+            sets.append(np.unique(np.concatenate([base[draw.integers(6)][: draw.integers(2, 400)], more])))
+        maps = np.stack([partenum.parity_map(x) for x in sets]).view(np.uint64)
+        n, component, own = np.array([len(x) for x in sets]), draw.integers(0, 9, len(sets)), draw.random(len(sets)) < 0.5
+        found = [p for a, b in partenum._pairs_within(ends, component, n, own, maps, percent) for p in zip(a.tolist(), b.tolist(), strict=True)]
+        want = set()
+        for begin, end in zip([0, *ends[:-1]], ends, strict=True):
+            for i in range(begin, end):
+                for j in range(i + 1, end):
+                    unlike = int(np.bitwise_count(maps[i] ^ maps[j]).sum())
+                    may = (100 + percent) * unlike <= (100 - percent) * (n[i] + n[j]) and 100 * min(n[i], n[j]) >= percent * max(n[i], n[j])
+                    if may and component[i] != component[j] and (own[i] or own[j]):
+                        want.add((i, j))
+        assert set(found) == want and len(found) == len(want) and (want or largest < 150)
+
+
+def test_unlike_members_of_a_group_make_no_pairs(spark, monkeypatch):
+    """What shares a signature by chance is neither written nor moved as pairs."""
+    draw, made = random.Random(12), {}
+    rows = [(i, " ".join(f"w{draw.randrange(10**9)}" for _ in range(300))) for i in range(80)]
+    rows.append((80, " ".join(rows[79][1].split()[:-10])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    members = spark.createDataFrame([(2 * g, i, True) for g in range(3) for i in range(80 + g)] + [(6, 79, True), (6, 80, True)], "grp long, doc_id long, own boolean")
+    # Nothing is linked in the rounds before.
+    turns, compared = iter([False] * partenum.ROUNDS + [True]), partenum._compared
+    monkeypatch.setattr(partenum, "_compared", lambda docs, pairs, *a: compared(docs, pairs if next(turns) else pairs.where("false"), *a))
+    write = partenum.materialize
+
+    def watched(df, label):
+        made[label] = made.get(label, 0) + (out := write(df, label)).count()
+        return out
+
+    monkeypatch.setattr(partenum, "materialize", watched)
+    maps = partenum.shingle_summary(docs, 5).select("doc_id", "n_shingles", "map")
+    links = {(r["a"], r["b"]) for r in partenum._links(docs, members, maps, 5, 80).collect()}
+    assert links <= {(79, 80)} and made["near"] == 0 and made["rest"] <= 1
+
+
+def test_shuffled_files_leave_the_disk_with_the_write(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    before = set(files.getAllFiles().mkString("\n").split("\n"))
+    out = partenum.materialize(spark.range(50_000).repartition("id").groupBy(F.col("id") % 999).count(), "t")
+    for _ in range(50):
+        left = {f for f in set(files.getAllFiles().mkString("\n").split("\n")) - before if "shuffle_" in f}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and out.count() == 999
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) is None
+
+
 def test_join_of_nothing_and_repeated_rows(spark):
     docs = spark.createDataFrame([(5, "a b c d e"), (5, "a b c d e"), (None, "a b c d e"), (3, "a b c d e")], "doc_id long, text string")
     got = sorted(map(tuple, partenum.similar_components(docs).collect()), key=str)
